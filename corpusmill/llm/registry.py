@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import mixing, url_filter
+from corpusmill.llm import bpe, jpeg, mixing, simhash, url_filter
 
 
 def queries() -> dict:
     return {
         "op4_url_filter": url_filter.op4_url_filter,
+        "op5_simhash": simhash.op5_simhash,
         "op6_mixing": mixing.op6_mixing,
+        "op7_bpe": bpe.op7_bpe,
+        "op9_jpeg_media": jpeg.op9_jpeg_media,
     }
 
 
