@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, jpeg, mixing, simhash, url_filter
+from corpusmill.llm import bpe, jpeg, mixing, simhash, toxicity, url_filter, vectors
 
 
 def queries() -> dict:
     return {
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op3_int8_tiles": vectors.op3_int8_tiles,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_simhash": simhash.op5_simhash,
         "op6_mixing": mixing.op6_mixing,
@@ -16,4 +18,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL}
+    return {"op3_int8_tiles": vectors.ORACLE_SQL, "op4_url_filter": url_filter.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL}
