@@ -9,8 +9,8 @@ whose correction by the class prior ``pi`` removes the toxic texts hidden among
 unlabelled ones from their loss. When the second term is negative a step is taken
 against it alone, so the risk can't be driven below zero by overfitting.
 
-Features are hashes of lower-cased words and of their first 4, 5 and 6 bytes,
-present or not. Training reads two bounded samples, the first ``MAX_POSITIVE`` confirmed
+Features are hashes of lower-cased words and of their first 4, 5 and 6 bytes, each
+as present once, twice and four times or more. Training reads two bounded samples, the first ``MAX_POSITIVE`` confirmed
 and ``MAX_UNLABELLED`` any documents in hash order; the prior counts all labels of the
 training folds. Scoring is one pass over all whole texts with a model of ``MAX_FEATURES``
 weights and moves no data between tasks.
@@ -38,8 +38,11 @@ from corpusmill.llm.kernels import LOWER, SPACE, U64, arrow_limits, byte_table,
 MAX_POSITIVE = 2500
 MAX_UNLABELLED = 5000
 MAX_FEATURES = 1500
-MIN_COUNT = 3
+MIN_COUNT = 4
+#: Standard errors by which a feature must be commoner in confirmed texts than in unlabelled ones.
+MIN_LIFT = 6.0
 PREFIXES = (4, 5, 6)
+LEVELS = (1, 2, 4)
 STEPS = 400
 RATE = 0.05
 RIDGE = 1e-4
@@ -69,7 +72,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 @dataclass
 class Model:
     keys: np.ndarray  # sorted hashes
-    weights: np.ndarray
+    weights: np.ndarray  # a row for each key, a column for each level of its count
     bias: float
 
     def __post_init__(self):
@@ -79,11 +82,14 @@ class Model:
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         where, hashes = features(data, offsets)
         hit = np.flatnonzero(self.maybe[(hashes & U64((1 << 20) - 1)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.keys, hashes[hit]), max(len(self.keys) - 1, 0))
-        same = self.keys[at] == hashes[hit] if len(self.keys) else np.zeros(len(hit), bool)
-        found = np.unique(where[hit][same] * len(self.keys) + at[same])
         z = np.full(len(offsets) - 1, self.bias)
-        np.add.at(z, found // max(len(self.keys), 1), self.weights[found % max(len(self.keys), 1)])
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, hashes[hit]), len(self.keys) - 1)
+            same = self.keys[at] == hashes[hit]
+            found, count = np.unique(where[hit][same] * len(self.keys) + at[same], return_counts=True)
+            for k, level in enumerate(LEVELS):
+                some = found[count >= level]
+                np.add.at(z, some // len(self.keys), self.weights[some % len(self.keys), k])
         return sigmoid(z)
 
 
@@ -137,34 +143,40 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1) -> Model:
                 new = np.ones(len(where), bool)
                 new[1:] = (where[1:] != where[:-1]) | (hashes[1:] != hashes[:-1])
                 at = np.searchsorted(where[new], np.arange(j - i + 1)).astype(np.int32)
-                values = pa.ListArray.from_arrays(pa.array(at), pa.array(hashes[new].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), values], names=["p", "f"])
+                count = np.minimum(np.diff(np.append(np.flatnonzero(new), len(where))), LEVELS[-1]).astype(np.int8)
+                lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in (hashes[new].view(np.int64), count)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *lists], names=["p", "f", "c"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("p", "text")
-    rows = texts.mapInArrow(run, "p int, f array<long>").toArrow()
+    rows = texts.mapInArrow(run, "p int, f array<long>, c array<byte>").toArrow()
     flags = rows["p"].to_numpy().astype(bool)
-    lists = rows["f"].combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
-    hashes = lists.flatten().to_numpy().view(U64)
-    where = np.repeat(np.arange(len(flags)), lists.value_lengths().to_numpy())
+    flat = lambda name: pa.chunked_array([c.flatten() for c in rows[name].chunks], rows[name].type.value_type).to_numpy()
+    hashes, count = flat("f").view(U64), flat("c")
+    sizes = [c.value_lengths().to_numpy() for c in rows["f"].chunks]
+    where = np.repeat(np.arange(len(flags)), np.concatenate(sizes) if sizes else np.zeros(0, int))
     n_p, n_u = int(flags.sum()), int((~flags).sum())
     if not n_p or not n_u:
-        return Model(np.zeros(0, U64), np.zeros(0), float(np.log(prior / (1 - prior))))
+        return Model(np.zeros(0, U64), np.zeros((0, len(LEVELS))), float(np.log(prior / (1 - prior))))
     keys, inverse = np.unique(hashes, return_inverse=True)
-    in_p = np.bincount(inverse, flags[where], len(keys))
-    in_u = np.bincount(inverse, ~flags[where], len(keys))
+    reached = [(where[count >= level], inverse[count >= level] * len(LEVELS) + k) for k, level in enumerate(LEVELS)]
+    where, cell = (np.concatenate(x) for x in zip(*reached, strict=True))
+    cells = len(keys) * len(LEVELS)
+    in_p = np.bincount(cell, flags[where], cells)
+    in_u = np.bincount(cell, ~flags[where], cells)
     rate_p, rate_u = in_p / n_p, (in_u + 0.5) / (n_u + 1)
     lift = (rate_p - rate_u) / np.sqrt(rate_u * (1 - np.minimum(rate_u, 0.999)) / n_p)
-    chosen_keys = np.argsort(-np.where((in_p >= MIN_COUNT) & (rate_p > 1.5 * rate_u), lift, -np.inf), kind="stable")[:MAX_FEATURES]
-    chosen_keys = np.sort(chosen_keys[in_p[chosen_keys] >= MIN_COUNT])
-    column = np.full(len(keys), -1)
-    column[chosen_keys] = np.arange(len(chosen_keys))
-    x = np.zeros((len(flags), len(chosen_keys)), np.float32)
-    used = column[inverse] >= 0
-    x[where[used], column[inverse][used]] = 1
+    good = np.flatnonzero((in_p >= MIN_COUNT) & (lift >= MIN_LIFT) & (rate_p > 1.5 * rate_u))
+    chosen = np.sort(good[np.argsort(-lift[good], kind="stable")[:MAX_FEATURES]])
+    column = np.full(cells, -1)
+    column[chosen] = np.arange(len(chosen))
+    x = np.zeros((len(flags), len(chosen)), np.float32)
+    used = column[cell] >= 0
+    x[where[used], column[cell][used]] = 1
     weights, bias = nnpu(x[flags], x[~flags], prior)
-    return Model(keys[chosen_keys], weights, bias)
+    base, row = np.unique(chosen // len(LEVELS), return_inverse=True)
+    table = np.zeros((len(base), len(LEVELS)))
+    table[row, chosen % len(LEVELS)] = weights
+    return Model(keys[base], table, bias)
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text", drop_text: bool = False, name: str = "score") -> DataFrame:
