@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, jpeg, mixing, simhash, toxicity, url_filter, vectors
+from corpusmill.llm import bpe, jpeg, language, mixing, simhash, token_counts, toxicity, url_filter, vectors
 
 
 def queries() -> dict:
@@ -13,7 +13,9 @@ def queries() -> dict:
         "op5_simhash": simhash.op5_simhash,
         "op6_mixing": mixing.op6_mixing,
         "op7_bpe": bpe.op7_bpe,
+        "op8_language": language.op8_language,
         "op9_jpeg_media": jpeg.op9_jpeg_media,
+        "op10_token_counts": token_counts.op10_token_counts,
     }
 
 
