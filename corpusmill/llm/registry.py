@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import bpe, jpeg, language, mixing, simhash, token_counts, toxicity, url_filter, vectors
+from corpusmill.llm import bpe, jpeg, language, mixing, simhash, suffix_dedup, token_counts, toxicity, url_filter, vectors
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_int8_tiles": vectors.op3_int8_tiles,
         "op4_url_filter": url_filter.op4_url_filter,
