@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from corpusmill.llm import bpe, jpeg, language, mixing, simhash, suffix_dedup, token_counts, toxicity, url_filter, vectors
 
 
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op8_language": language.op8_language,
         "op9_jpeg_media": jpeg.op9_jpeg_media,
         "op10_token_counts": token_counts.op10_token_counts,
+        "pipeline": corpus_pipeline.run,
     }
 
 

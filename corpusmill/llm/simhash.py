@@ -23,11 +23,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.components import components
-from corpusmill.llm.kernels import LOWER, SPACE, U64, arrow_limits, forest, spans, text_slices, xxh64
+from corpusmill.llm.kernels import LOWER, SPACE, U64, arrow_limits, forest, mixed, spans, text_slices, xxh64
 from corpusmill.plans.lineage import cut
 
 SHINGLE = 3
@@ -67,8 +67,12 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     full = np.flatnonzero(counts)
     if len(full):
         bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        begin = np.concatenate([[0], np.cumsum(counts[full])[:-1]])
-        ones = np.add.reduceat(bits, begin, axis=0, dtype=np.uint32)
+        # sums of at most 255 rows fit in a byte
+        runs = -(-counts[full] // 255)
+        begin = np.repeat(np.cumsum(counts[full]) - counts[full], runs)
+        begin += 255 * (np.arange(len(begin)) - np.repeat(np.cumsum(runs) - runs, runs))
+        part = np.add.reduceat(bits, begin, axis=0, dtype=np.uint8)
+        ones = np.add.reduceat(part, np.cumsum(runs) - runs, axis=0, dtype=np.uint32)
         out[full] = np.packbits(ones * 2 > counts[full][:, None], axis=1, bitorder="little").view("<u8").ravel()
     return out
 
@@ -95,45 +99,53 @@ def block_masks(differ: int = MAX_BITS, blocks: int = BLOCKS) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def bucket_links(batches: Iterator[pa.RecordBatch], differ: int) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the links inside each bucket of a partition sorted by (tab, key)."""
-    held: list[np.ndarray] = []
+def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of whole buckets, ``RUN`` rows or more at a time, of a partition sorted by (tab, key)."""
+    held: list[list[np.ndarray]] = []
     rows = 0
-
-    def links(tab, key, fp, rep):
-        group = np.concatenate([[0], np.cumsum((tab[1:] != tab[:-1]) | (key[1:] != key[:-1]))])
-        found_a, found_b, found = [], [], 0
-        at, lag = np.arange(len(fp)), 1
-        while True:
-            at = at[at + lag < len(fp)]
-            at = at[group[at] == group[at + lag]]
-            if not len(at):
-                break
-            near = at[np.bitwise_count(fp[at] ^ fp[at + lag]) <= differ]
-            found_a.append(rep[near])
-            found_b.append(rep[near + lag])
-            found += len(near)
-            if found > 1_000_000:
-                a, b = forest(np.concatenate(found_a), np.concatenate(found_b))
-                found_a, found_b, found = [a], [b], 0
-            lag += 1
-        a, b = forest(np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64),) * 2
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
+    plain = lambda c: np.array(c.to_pylist(), dtype=object) if pa.types.is_binary(c.type) else np.asarray(c)
     for batch in batches:
-        held.append(np.stack([np.asarray(batch.column(k)).astype(np.int64) for k in range(4)]))
+        held.append([plain(batch.column(k)) for k in range(batch.num_columns)])
         rows += batch.num_rows
         if rows >= RUN:
-            tab, key, fp, rep = np.concatenate(held, axis=1)
-            change = np.flatnonzero((tab[1:] != tab[:-1]) | (key[1:] != key[:-1]))
-            if len(change):  # the last bucket may go on in the next batch
-                n = change[-1] + 1
-                yield links(tab[:n], key[:n], fp[:n], rep[:n])
-                held, rows = [np.stack([tab[n:], key[n:], fp[n:], rep[n:]])], len(tab) - n
-            else:
-                held = [np.stack([tab, key, fp, rep])]
-    if held:
-        yield links(*np.concatenate(held, axis=1))
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            change = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]))
+            n = change[-1] + 1 if len(change) else 0  # the last bucket may go on in the next batch
+            if n:
+                yield [c[:n] for c in cols]
+            held, rows = [[c[n:] for c in cols]], len(cols[0]) - n if n else 0
+    if held and len(held[0][0]) + len(held) > 1:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def within(tab: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one bucket, a shift of the rows at a time."""
+    group = np.concatenate([[0], np.cumsum((tab[1:] != tab[:-1]) | (key[1:] != key[:-1]))])
+    at, lag = np.arange(len(tab)), 1
+    while True:
+        at = at[at + lag < len(tab)]
+        at = at[group[at] == group[at + lag]]
+        if not len(at):
+            return
+        yield at, at + lag
+        lag += 1
+
+
+def bucket_links(batches: Iterator[pa.RecordBatch], differ: int) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the links inside each bucket of a partition sorted by (tab, key)."""
+    for tab, key, fp, rep in buckets(batches):
+        left, right, found = [], [], 0
+        for i, j in within(tab, key):
+            near = np.bitwise_count(fp[i] ^ fp[j]) <= differ
+            left.append(rep[i[near]])
+            right.append(rep[j[near]])
+            found += int(near.sum())
+            if found > 1_000_000:
+                a, b = forest(np.concatenate(left), np.concatenate(right))
+                left, right, found = [a], [b], 0
+        if found or len(left):
+            a, b = forest(np.concatenate(left), np.concatenate(right))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def classes(fps: DataFrame, differ: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
@@ -147,6 +159,122 @@ def classes(fps: DataFrame, differ: int = MAX_BITS, blocks: int = BLOCKS) -> Dat
     return nodes.join(of, nodes["rep"] == of["id"], "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
 
 
+# Near-duplicates at a lower similarity. At a Jaccard similarity of 0.8 over five-word
+# shingles, fingerprints of those shingles differ in about 15 % of their bits, too many for
+# blocks. Fingerprints of the same texts' distinct words differ in about 6 %: they share
+# blocks, and long fingerprints of the shingles decide which pairs are worth an exact comparison.
+NEAR_WORDS = 5
+SIMILARITY = 0.8
+#: 64-bit fingerprints of the distinct words, and of the shingles.
+WORD_PRINTS, SHINGLE_PRINTS = 2, 8
+NEAR_BLOCKS, NEAR_PICK = 5, 2
+#: Shares of differing shingle bits: up to the first a pair is taken, beyond the second it is not.
+SURE, OPEN = 0.09, 0.195
+
+
+def _prints(hashes: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.stack([majority(mixed(hashes + U64(k + 1)), counts) for k in range(n)], axis=1)
+
+
+def _distinct(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct hashes in order, and their number."""
+    of = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((hashes, of))
+    of, hashes = of[order], hashes[order]
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])
+    return hashes[new], np.bincount(of[new], minlength=len(counts))
+
+
+def _sketches(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in text_slices(batch):
+                with np.errstate(over="ignore"):
+                    single = _prints(*_distinct(*shingle_hashes(data, offsets, 1)), WORD_PRINTS)
+                    hashes, counts = shingle_hashes(data, offsets, words)
+                    long = _prints(hashes, counts, SHINGLE_PRINTS)
+                    at = np.cumsum(counts) - counts
+                    place = mixed(np.arange(len(hashes), dtype=U64) - np.repeat(at, counts).astype(U64))
+                    sums = np.concatenate([[U64(0)], np.cumsum(mixed(hashes ^ place))])
+                    node = mixed(sums[at + counts] - sums[at] + counts.astype(U64))
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(single.view(np.int64).ravel()), WORD_PRINTS).cast(pa.list_(pa.int64()))
+                own = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * SHINGLE_PRINTS), j - i, [None, pa.py_buffer(long.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(node.view(np.int64)), lists, own], names=["did", "th", "node", "w", "s"])
+
+    return run
+
+
+def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs in a bucket whose shingle fingerprints are near enough; sure ones as a spanning forest."""
+    bits = 64 * SHINGLE_PRINTS
+    for tab, key, node, sketch in buckets(batches):
+        fp = np.frombuffer(b"".join(sketch), U64).reshape(-1, SHINGLE_PRINTS)
+        sure: list[list[np.ndarray]] = [[], []]
+        open_: list[list[np.ndarray]] = [[], []]
+        for i, j in within(tab, key):
+            d = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1)
+            for pairs, good in ((sure, d <= SURE * bits), (open_, (d > SURE * bits) & (d <= OPEN * bits))):
+                if good.any():
+                    pairs[0].append(node[i[good]])
+                    pairs[1].append(node[j[good]])
+        none = np.zeros(0, np.int64)
+        a, b = forest(np.concatenate(sure[0]), np.concatenate(sure[1])) if sure[0] else (none, none)
+        p, q = (np.concatenate(x) for x in open_) if open_[0] else (none, none)
+        p, q = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1) if len(p) else (none, none)
+        cols = np.concatenate([a, p]), np.concatenate([b, q]), np.arange(len(a) + len(p)) < len(a)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a", "b", "sure"])
+
+
+def _shingle_sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in text_slices(batch):
+                hashes, counts = _distinct(*shingle_hashes(data, offsets, words))
+                at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists], names=["node", "set"])
+
+    return run
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document, that of the least id, of each group of near-duplicates.
+
+    Texts are linked when the Jaccard similarity of their sets of word shingles reaches
+    ``similarity``; groups are the links' components, equal texts being one node from the start.
+    """
+    spark = docs.sparkSession
+    arrow_limits(spark)
+    ident = [F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(F.col(f"`{text}`")).alias("th")]
+    texts = docs.select(*ident, F.col(f"`{text}`").alias("text"))
+    rows = cut(texts.mapInArrow(_sketches(words), "did long, th long, node long, w array<long>, s binary"))
+    nodes = cut(rows.groupBy("node", "w", "s").agg(F.min(F.struct("did", "th")).alias("rep")))
+    masks = block_masks(NEAR_BLOCKS - NEAR_PICK, NEAR_BLOCKS)
+    tables = [F.struct(F.lit(k * len(masks) + t).alias("tab"), F.element_at("w", k + 1).bitwiseAND(F.lit(m).cast("long")).alias("key")) for k in range(WORD_PRINTS) for t, m in enumerate(masks)]
+    keyed = nodes.select(F.explode(F.array(*tables)).alias("t"), "node", "s").select("t.tab", "t.key", "node", "s")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = cut(keyed.repartition(parts, "tab", "key").sortWithinPartitions("tab", "key").mapInArrow(_near_pairs, "a long, b long, sure boolean"))
+    sure = found.where("sure").select("a", "b")
+    joined = components(sure)
+    left, right = (joined.select(F.col("id").alias(c), F.col("component_id").alias(f"{c}_of")) for c in "ab")
+    open_ = found.where("NOT sure").select("a", "b").distinct().join(left, "a", "left").join(right, "b", "left")
+    open_ = cut(open_.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select("a", "b"))
+    wanted = open_.select(F.col("a").alias("node")).unionByName(open_.select(F.col("b").alias("node"))).distinct()
+    wanted = wanted.join(nodes, "node").select("node", "rep.did", "rep.th")
+    sets = texts.join(wanted, ["did", "th"]).select("node", "text").mapInArrow(_shingle_sets(words), "node long, set array<long>").dropDuplicates(["node"])
+    left, right = (sets.select(F.col("node").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
+    both = open_.join(left, "a").join(right, "b")
+    shared = F.size(F.array_intersect("a_set", "b_set"))
+    near = both.where(shared >= F.lit(similarity) * (F.size("a_set") + F.size("b_set") - shared)).select("a", "b")
+    of = components(sure.unionByName(near))
+    kept = nodes.join(of, nodes["node"] == of["id"], "left").groupBy(F.coalesce("component_id", "node").alias("c")).agg(F.min("rep").alias("rep")).select("rep.did", "rep.th")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *ident).join(kept, ["did", "th"])
+    one = Window.partitionBy("did", "th").orderBy(F.lit(0))
+    return whole.withColumn("n", F.row_number().over(one)).where("n = 1").select("__row.*")
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     fps = cut(fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return fps.join(classes(fps), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
