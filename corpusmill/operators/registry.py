@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from corpusmill.operators import queries_text, queries_urls  # noqa: F401  (registers its queries)
+from corpusmill.operators.catalogue import ORACLES, QUERIES
+
 
 def entry(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    return QUERIES["u1_clean_url"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
