@@ -6,7 +6,9 @@ White space is in no entry at all: the first cuts are at ASCII white space, whic
 gives words. A word is normalised, split by the vocabulary's pattern, and each
 piece is cut again at its own forced boundaries; the fragments are merged
 independently and concatenated. Fragments and words come back often, so both are
-remembered by each Python worker, up to ``MEMO`` entries, then forgotten.
+remembered by each Python worker, up to ``MEMO`` entries, then forgotten. The words of
+a slice of texts are looked up and their encodings concatenated in numpy; only new words
+reach Python code.
 
 The files of the public vocabularies are a parameter; merges come from there and
 nothing is trained. No shuffle: every row is encoded where it is read.
@@ -30,9 +32,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import arrow_limits
+from corpusmill.llm.kernels import U64, arrow_limits, span_hashes, spans, text_slices
 
-MEMO = 300_000
+MEMO = 800_000
+SLICE = 1 << 20
 
 
 def default_path() -> str:
@@ -70,7 +73,7 @@ class WordBpe:
         self.letters = byte_letters()
         self.inside = {x[k : k + 2] for t in self.vocab for x in [t.removesuffix(self.end)] for k in range(len(x) - 1)}
         self.fragments: dict[tuple[str, bool], tuple[int, ...]] = {}
-        self.words: dict[bytes, tuple[int, bytes, str, bytes]] = {}
+        self.forget()
 
     def merge(self, fragment: str, last: bool) -> tuple[int, ...]:
         """Ids of a fragment; ``last``: a piece ends with it. The lowest-ranked, leftmost pair merges first."""
@@ -120,20 +123,48 @@ class WordBpe:
                     ids.extend(self.piece_ids(piece))
         return ids
 
-    def word(self, word: bytes) -> tuple[int, bytes, str, bytes]:
-        """Number of ids, ids as text, token names as text, ids as 16-bit numbers."""
-        if len(self.words) >= MEMO:
-            self.words.clear()
-        ids = self.word_ids(word.decode())
-        found = self.words[word] = (len(ids), b" ".join(b"%d" % i for i in ids), " ".join([self.names[i] for i in ids]), np.asarray(ids, "<u2").tobytes())
-        return found
-
-    def text(self, text: bytes) -> list[tuple[int, bytes, str, bytes]]:
-        get, miss = self.words.get, self.word
-        return [e for w in text.split() if (e := get(w) or miss(w))[0]]
+    def forget(self) -> None:
+        """Empty the table of words: hashes in order, each one's entry, and pools of encodings."""
+        self.known, self.entry = np.zeros(0, U64), np.zeros(0, np.int32)
+        self.counts = np.zeros(0, np.int32)
+        self.pools = [bytearray() for _ in range(3)]  # ids as text, token names as text, packed ids
+        self.starts = [np.zeros(1, np.int64) for _ in range(3)]
+
+    def entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The table entry of each word; new words are encoded and remembered."""
+        with np.errstate(over="ignore"):
+            hashes, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) + len(hashes) > MEMO:
+            self.forget()
+        at = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != hashes
+        fresh = np.flatnonzero(new)
+        if len(fresh):
+            ids = [self.word_ids(data[starts[k] : ends[k]].tobytes().decode()) for k in first[fresh]]
+            texts = ([b"".join([b"%d " % i for i in x]) for x in ids], ["".join([self.names[i] + " " for i in x]).encode() for x in ids], [np.asarray(x, "<u2").tobytes() for x in ids])
+            for k, own in enumerate(texts):
+                self.starts[k] = np.concatenate([self.starts[k], len(self.pools[k]) + np.cumsum([len(x) for x in own])])
+                self.pools[k] += b"".join(own)
+            entry = np.arange(len(self.counts), len(self.counts) + len(fresh), dtype=np.int32)
+            self.counts = np.concatenate([self.counts, np.array([len(x) for x in ids], np.int32)])
+            self.entry = np.insert(self.entry, at[fresh], entry)
+            self.known = np.insert(self.known, at[fresh], hashes[fresh])
+            at = np.searchsorted(self.known, hashes)
+        return self.entry[at][inverse]
+
+    def joined(self, pool: int, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries' encodings end to end, and where each begins."""
+        begin = self.starts[pool][entries]
+        size = self.starts[pool][entries + 1] - begin
+        out = np.concatenate([[0], np.cumsum(size)])
+        source = np.repeat((begin - out[:-1]).astype(np.int32), size)
+        source += np.arange(out[-1], dtype=np.int32)
+        return np.frombuffer(self.pools[pool], np.uint8)[source] if len(source) else np.zeros(0, np.uint8), out
 
     def ids(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join([e[3] for e in self.text(text.encode())]), "<u2").tolist()
+        return [i for w in text.encode().split() for i in self.word_ids(w.decode())]
 
     def decode(self, ids) -> str:
         return " ".join([self.names[i] for i in ids])
@@ -144,26 +175,24 @@ def encoder(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _texts(batch: pa.RecordBatch, column: int) -> Iterator[bytes]:
-    for x in batch.column(column).cast(pa.large_binary()):
-        yield x.as_py() or b""
-
-
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the decoded text."""
     path = path or default_path()
     arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, sha = encoder(path), lambda x: hashlib.sha256(x).hexdigest()
+        bpe = encoder(path)
         for batch in batches:
-            n, ids, names = [], [], []
-            for x in _texts(batch, 1):
-                found = bpe.text(x)
-                n.append(sum([e[0] for e in found]))
-                ids.append(sha(b" ".join([e[1] for e in found])))
-                names.append(sha(" ".join([e[2] for e in found]).encode()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(names, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            for i, j, data, offsets in text_slices(batch, limit=SLICE):
+                starts, ends, first = spans(data, offsets)
+                entries = bpe.entries(data, starts, ends)
+                tokens = np.concatenate([[0], np.cumsum(bpe.counts[entries], dtype=np.int64)])[first]
+                digests = []
+                for pool in (0, 1):
+                    out, at = bpe.joined(pool, entries)
+                    at, out = at[first].tolist(), out.data
+                    digests.append([hashlib.sha256(out[a : max(a, b - 1)]).hexdigest() for a, b in zip(at, at[1:], strict=False)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(tokens)), *map(pa.array, digests)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
@@ -176,8 +205,13 @@ def encode_rows(docs: DataFrame, path: str | None = None, key: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in batches:
-            ids = [b"".join([e[3] for e in bpe.text(x)]) for x in _texts(batch, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+            for i, j, data, offsets in text_slices(batch, limit=SLICE):
+                starts, ends, first = spans(data, offsets)
+                entries = bpe.entries(data, starts, ends)
+                tokens = np.concatenate([[0], np.cumsum(bpe.counts[entries], dtype=np.int64)])[first]
+                out, at = bpe.joined(2, entries)
+                ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(at[first]), pa.py_buffer(out)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(tokens)), ids], names=["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
