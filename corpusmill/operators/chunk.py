@@ -32,10 +32,12 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    if n == 1:
-        return tokens
-    grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+    """Runs of n neighbours, by joining shifted copies: the tokens are computed once, not once a gram."""
+    many = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    out = F.slice(tokens, F.lit(1), many)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(tokens, F.lit(k + 1), many), lambda a, b: F.concat(a, F.lit(" "), b))
+    return out
 
 
 def token_blocks(docs: DataFrame, tokens: Column, key: str = "doc_id", block: int = 1024, end: str = "</s>", bucket: int = 1000) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from corpusmill.operators import queries_text, queries_urls  # noqa: F401  (registers its queries)
+from corpusmill.operators import queries_retrieval, queries_text, queries_urls  # noqa: F401  (registers its queries)
 from corpusmill.operators.catalogue import ORACLES, QUERIES
 
 
 def entry(spark, sf_dir):
-    return QUERIES["u1_clean_url"](spark, sf_dir)
+    return QUERIES["flagship_chunk_search"](spark, sf_dir)
 
 
 def queries() -> dict:
