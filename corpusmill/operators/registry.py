@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.operators import queries_retrieval, queries_text, queries_urls  # noqa: F401  (registers its queries)
+from corpusmill.operators import queries_layout, queries_retrieval, queries_text, queries_urls  # noqa: F401  (registers its queries)
 from corpusmill.operators.catalogue import ORACLES, QUERIES
 
 

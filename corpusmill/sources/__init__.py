@@ -1,0 +1 @@
+"""Readers and writers of the corpus's file formats."""

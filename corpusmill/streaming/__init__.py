@@ -1,0 +1 @@
+"""The persisted work queue and the seen-content filter as streams."""
