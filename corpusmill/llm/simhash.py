@@ -135,6 +135,7 @@ def bucket_links(batches: Iterator[pa.RecordBatch], differ: int) -> Iterator[pa.
     """A spanning forest of the links inside each bucket of a partition sorted by (tab, key)."""
     for tab, key, fp, rep in buckets(batches):
         left, right, found = [], [], 0
+        fp = fp.view(U64)  # numpy counts the bits of a signed number's absolute value
         for i, j in within(tab, key):
             near = np.bitwise_count(fp[i] ^ fp[j]) <= differ
             left.append(rep[i[near]])
