@@ -309,7 +309,7 @@ def _resolve(rows: DataFrame, texts: DataFrame, level: int = 0) -> DataFrame:
     cold = open_ if level == len(LEVELS) - 1 else open_.where(F.col("kinds") <= MAX_GROUP)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     indexed = content(cold).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_index_blocks, "key long, ctx long, runs array<struct<a:int,b:int>>")
-    marks = marks.unionByName(indexed)
+    marks = marks.unionByName(cut(indexed))
     if level < len(LEVELS) - 1 and not (hot := open_.where(F.col("kinds") > MAX_GROUP)).isEmpty():
         hot = cut(content(hot).dropDuplicates(["key", "ctx"]))
         sub = cut(hot.mapInArrow(_split_rows(LEVELS[level + 1]), _ROWS + ", n long"))
