@@ -101,7 +101,7 @@ def mix(docs: DataFrame, source: str = "source", size: Column | None = None, key
     placed = cut(placed.drop("src"))
     counted = {r["no"]: r["n"] for r in placed.groupBy("no").agg(F.sum(F.size("epoch")).alias("n")).collect()}
     quotas = split_tree([counted.get(n, 0) for n in range(len(plan))], shards) if plan else []
-    ends = np.cumsum(np.asarray(quotas, dtype=np.int64).reshape(-1, len(plan)), axis=0)
+    ends = np.cumsum(np.asarray(quotas, dtype=np.int64).reshape(len(quotas), len(plan)), axis=0)
     runs = spark.createDataFrame([(n, [int(x) for x in ends[:, n]]) for n in range(len(plan))], "no int, ends array<long>")
     rank = Window.partitionBy("no").orderBy("epoch", "__blk")
     drawn = placed.select("no", "__blk", F.explode("epoch").alias("epoch")).withColumn("r", F.row_number().over(rank) - 1).join(F.broadcast(runs), "no")
