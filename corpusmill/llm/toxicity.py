@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 
 from corpusmill.llm.kernels import LOWER, SPACE, U64, arrow_limits, byte_table, mixed, span_hashes, spans, text_slices
 
-MAX_POSITIVE = 2500
-MAX_UNLABELLED = 5000
+MAX_POSITIVE = 2000
+MAX_UNLABELLED = 4000
 MAX_FEATURES = 1500
 MIN_COUNT = 4
 #: Standard errors by which a feature must be commoner in confirmed texts than in unlabelled ones.
@@ -153,11 +153,20 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1) -> Model:
     flat = lambda name: pa.chunked_array([c.flatten() for c in rows[name].chunks], rows[name].type.value_type).to_numpy()
     hashes, count = flat("f").view(U64), flat("c")
     sizes = [c.value_lengths().to_numpy() for c in rows["f"].chunks]
-    where = np.repeat(np.arange(len(flags)), np.concatenate(sizes) if sizes else np.zeros(0, int))
+    where = np.repeat(np.arange(len(flags), dtype=np.int32), np.concatenate(sizes) if sizes else np.zeros(0, int))
+    del rows
     n_p, n_u = int(flags.sum()), int((~flags).sum())
     if not n_p or not n_u:
         return Model(np.zeros(0, U64), np.zeros((0, len(LEVELS))), float(np.log(prior / (1 - prior))))
-    keys, inverse = np.unique(hashes, return_inverse=True)
+    # only features of enough confirmed texts can be chosen, a small part of all
+    keys, times = np.unique(hashes[flags[where]], return_counts=True)
+    keys = keys[times >= MIN_COUNT]
+    if not len(keys):
+        return Model(keys, np.zeros((0, len(LEVELS))), float(np.log(prior / (1 - prior))))
+    inverse = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    known = keys[inverse] == hashes
+    where, inverse, count = where[known], inverse[known], count[known]
+    del hashes, known
     reached = [(where[count >= level], inverse[count >= level] * len(LEVELS) + k) for k, level in enumerate(LEVELS)]
     where, cell = (np.concatenate(x) for x in zip(*reached, strict=True))
     cells = len(keys) * len(LEVELS)
