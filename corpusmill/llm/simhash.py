@@ -171,6 +171,11 @@ WORD_PRINTS, SHINGLE_PRINTS = 2, 8
 NEAR_BLOCKS, NEAR_PICK = 5, 2
 #: Shares of differing shingle bits: up to the first a pair is taken, beyond the second it is not.
 SURE, OPEN = 0.09, 0.195
+#: In a bucket, the open pairs of a text with its nearest so many go to the exact comparison; farther
+#: ones are decided by their shingle fingerprints, at ``NEAR``.
+NEAREST, NEAR = 4, 0.14
+#: Open pairs that a task holds before it sorts out the nearest.
+HELD = 1_000_000
 
 
 def _prints(hashes: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
@@ -207,22 +212,55 @@ def _sketches(words: int):
     return run
 
 
+def _nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Which pairs are among the ``NEAREST`` of either side."""
+    side, other, far = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
+    order = np.lexsort((other, far, side))
+    first = np.searchsorted(side[order], side[order])
+    near = np.zeros(len(side), bool)
+    near[order] = np.arange(len(side)) - first < NEAREST
+    return near[: len(i)] | near[len(i) :]
+
+
 def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs in a bucket whose shingle fingerprints are near enough; sure ones as a spanning forest."""
+    """Pairs in a bucket whose shingle fingerprints are near enough; sure ones as a spanning forest.
+
+    What a task holds and returns grows with its rows, not with their pairs.
+    """
     bits = 64 * SHINGLE_PRINTS
+    none = np.zeros(0, np.int64)
     for tab, key, node, sketch in buckets(batches):
         fp = np.frombuffer(b"".join(sketch), U64).reshape(-1, SHINGLE_PRINTS)
-        sure: list[list[np.ndarray]] = [[], []]
-        open_: list[list[np.ndarray]] = [[], []]
+        sure = (none, none)
+        held: list[tuple[np.ndarray, ...]] = []
+        taken: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def sort_out(sure, held=held, taken=taken, node=node):
+            """Sure pairs into the forest, open ones down to the nearest."""
+            i, j, d = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (none, none, none)
+            good = np.flatnonzero(_nearest(i, j, d)) if len(i) else none
+            rest = np.ones(len(i), bool)
+            rest[good] = False
+            rest &= d <= NEAR * bits
+            more = [*taken, (node[i[rest]], node[j[rest]]), sure]
+            held[:] = [(i[good], j[good], d[good])]
+            taken.clear()
+            return forest(np.concatenate([x[0] for x in more]), np.concatenate([x[1] for x in more]))
+
         for i, j in within(tab, key):
             d = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1)
-            for pairs, good in ((sure, d <= SURE * bits), (open_, (d > SURE * bits) & (d <= OPEN * bits))):
-                if good.any():
-                    pairs[0].append(node[i[good]])
-                    pairs[1].append(node[j[good]])
-        none = np.zeros(0, np.int64)
-        a, b = forest(np.concatenate(sure[0]), np.concatenate(sure[1])) if sure[0] else (none, none)
-        p, q = (np.concatenate(x) for x in open_) if open_[0] else (none, none)
+            at = np.flatnonzero(d <= SURE * bits)
+            taken.append((node[i[at]], node[j[at]]))
+            size += len(at)
+            at = np.flatnonzero((d > SURE * bits) & (d <= OPEN * bits))
+            held.append((i[at], j[at], d[at].astype(np.int64)))
+            size += len(at)
+            if size > HELD + NEAREST * len(node):
+                sure = sort_out(sure)
+                size = len(held[0][0])
+        a, b = sort_out(sure)
+        p, q = node[held[0][0]], node[held[0][1]]
         p, q = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1) if len(p) else (none, none)
         cols = np.concatenate([a, p]), np.concatenate([b, q]), np.arange(len(a) + len(p)) < len(a)
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a", "b", "sure"])
