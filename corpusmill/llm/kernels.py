@@ -1,6 +1,6 @@
 """numpy kernels over the bytes of whole Arrow columns: words, hashes, local unions.
 
-Texts are handled as one byte buffer with offsets, a few megabytes at a time; a
+Texts are handled as one byte buffer with offsets, about a megabyte at a time; a
 text longer than that is a slice of its own, so memory follows the longest text,
 never a group or a partition.
 """
@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE = 1 << 22
+SLICE = 1 << 20
 U64 = np.uint64
 
 
