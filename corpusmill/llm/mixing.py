@@ -34,7 +34,8 @@ WEIGHTS = (5, 2, 1)
 MAX_TIMES = 3
 BLOCK_DIGITS = 3
 SEED = "mix-1"
-SHARDS = 16
+#: Words that an output shard holds about; the number of shards follows the mixture's size.
+SHARD_WORDS = 4_000_000
 MAX_SOURCES = 100_000
 
 
@@ -72,7 +73,7 @@ def split_tree(counts: list[int], shards: int, seed: int = 17) -> list[list[int]
     return split(np.asarray(counts, dtype=np.int64), shards)
 
 
-def mix(docs: DataFrame, source: str = "source", size: Column | None = None, key: str = "doc_id", shards: int = SHARDS, split_last: bool = True) -> DataFrame:
+def mix(docs: DataFrame, source: str = "source", size: Column | None = None, key: str = "doc_id", shards: int | None = None, split_last: bool = True) -> DataFrame:
     """``docs`` plus a struct ``mix`` of size, source_size, target, draws and taken.
 
     ``draws`` lists (epoch, shard, words, place): ``place`` orders a shard. With
@@ -90,6 +91,7 @@ def mix(docs: DataFrame, source: str = "source", size: Column | None = None, key
         raise ValueError(f"more than {MAX_SOURCES} sources")
     per_source.sort(key=lambda r: (r[0] is None, (r[0] or "").encode()))
     goal = targets([(r[0], r["n"]) for r in per_source])
+    shards = shards or max(1, -(-sum(r["n"] for r in per_source) // SHARD_WORDS))
     plan = [(n, r[0], r["n"], t, *(divmod(int(t + 0.5), r["n"]) if r["n"] else (0, 0))) for n, (r, t) in enumerate(zip(per_source, goal, strict=True))]
     sources = spark.createDataFrame(plan, "no int, src string, source_size long, target double, epochs long, rest long")
 
