@@ -169,11 +169,12 @@ SIMILARITY = 0.8
 #: 64-bit fingerprints of the distinct words, and of the shingles.
 WORD_PRINTS, SHINGLE_PRINTS = 2, 8
 NEAR_BLOCKS, NEAR_PICK = 5, 2
-#: Shares of differing shingle bits: up to the first a pair is taken, beyond the second it is not.
+#: Shares of differing shingle bits: up to the first a pair is taken, beyond the second it is not, and
+#: the open pairs between them are compared exactly.
 SURE, OPEN = 0.09, 0.195
-#: In a bucket, the open pairs of a text with its nearest so many go to the exact comparison; farther
-#: ones are decided by their shingle fingerprints, at ``NEAR``.
-NEAREST, NEAR = 4, 0.14
+#: Open pairs are compared in rounds: each text's nearest so many in a bucket, then more of what the
+#: links found so far leave apart, and at last all of the rest.
+ROUNDS = (4, 64, None)
 #: Open pairs that a task holds before it sorts out the nearest.
 HELD = 1_000_000
 
@@ -200,70 +201,87 @@ def _sketches(words: int):
                 with np.errstate(over="ignore"):
                     single = _prints(*_distinct(*shingle_hashes(data, offsets, 1)), WORD_PRINTS)
                     hashes, counts = shingle_hashes(data, offsets, words)
-                    long = _prints(hashes, counts, SHINGLE_PRINTS)
+                    each = _distinct(hashes, counts)  # similarity is one of sets
+                    long = _prints(*each, SHINGLE_PRINTS)
                     at = np.cumsum(counts) - counts
                     place = mixed(np.arange(len(hashes), dtype=U64) - np.repeat(at, counts).astype(U64))
                     sums = np.concatenate([[U64(0)], np.cumsum(mixed(hashes ^ place))])
                     node = mixed(sums[at + counts] - sums[at] + counts.astype(U64))
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(single.view(np.int64).ravel()), WORD_PRINTS).cast(pa.list_(pa.int64()))
                 own = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * SHINGLE_PRINTS), j - i, [None, pa.py_buffer(long.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(node.view(np.int64)), lists, own], names=["did", "th", "node", "w", "s"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(node.view(np.int64)), lists, own, pa.array(each[1].astype(np.int64))], names=["did", "th", "node", "w", "s", "m"])
 
     return run
 
 
-def _nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Which pairs are among the ``NEAREST`` of either side."""
+def _nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` nearest of either side."""
     side, other, far = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
     order = np.lexsort((other, far, side))
     first = np.searchsorted(side[order], side[order])
     near = np.zeros(len(side), bool)
-    near[order] = np.arange(len(side)) - first < NEAREST
+    near[order] = np.arange(len(side)) - first < most
     return near[: len(i)] | near[len(i) :]
 
 
-def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs in a bucket whose shingle fingerprints are near enough; sure ones as a spanning forest.
+def _near_pairs(batches: Iterator[pa.RecordBatch], most: int | None, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Pairs in a bucket, of texts not yet linked, whose shingle fingerprints are near enough.
 
-    What a task holds and returns grows with its rows, not with their pairs.
+    Sure ones are returned as a spanning forest, open ones as they are: each text's ``most``
+    nearest, or all. A text that has other open pairs is returned without a partner; the
+    pairs left out are pairs of two such texts.
     """
     bits = 64 * SHINGLE_PRINTS
     none = np.zeros(0, np.int64)
-    for tab, key, node, sketch in buckets(batches):
+
+    def rows(a, b, sure):
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int64()), pa.array(np.full(len(a), sure))], names=["a", "b", "sure"])
+
+    for tab, key, node, sketch, count, part in buckets(batches):
         fp = np.frombuffer(b"".join(sketch), U64).reshape(-1, SHINGLE_PRINTS)
-        sure = (none, none)
-        held: list[tuple[np.ndarray, ...]] = []
-        taken: list[tuple[np.ndarray, ...]] = []
-        size = 0
+        sure, taken, held, size = (none, none), [], [], 0
+        left_out = np.zeros(len(node), bool)
 
-        def sort_out(sure, held=held, taken=taken, node=node):
-            """Sure pairs into the forest, open ones down to the nearest."""
+        def sort_out(held, left_out=left_out, most=most):
+            """The nearest of the open pairs."""
             i, j, d = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (none, none, none)
-            good = np.flatnonzero(_nearest(i, j, d)) if len(i) else none
-            rest = np.ones(len(i), bool)
-            rest[good] = False
-            rest &= d <= NEAR * bits
-            more = [*taken, (node[i[rest]], node[j[rest]]), sure]
-            held[:] = [(i[good], j[good], d[good])]
-            taken.clear()
-            return forest(np.concatenate([x[0] for x in more]), np.concatenate([x[1] for x in more]))
+            good = _nearest(i, j, d, most) if len(i) else np.zeros(0, bool)
+            left_out[i[~good]] = left_out[j[~good]] = True
+            return [(i[good], j[good], d[good])]
 
         for i, j in within(tab, key):
-            d = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1)
-            at = np.flatnonzero(d <= SURE * bits)
+            at = (part[i] != part[j]) & (np.minimum(count[i], count[j]) >= similarity * np.maximum(count[i], count[j]) - 1e-9)
+            i, j = i[at], j[at]
+            d = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1).astype(np.int64)
+            at = d <= SURE * bits
             taken.append((node[i[at]], node[j[at]]))
-            size += len(at)
-            at = np.flatnonzero((d > SURE * bits) & (d <= OPEN * bits))
-            held.append((i[at], j[at], d[at].astype(np.int64)))
-            size += len(at)
-            if size > HELD + NEAREST * len(node):
-                sure = sort_out(sure)
-                size = len(held[0][0])
-        a, b = sort_out(sure)
-        p, q = node[held[0][0]], node[held[0][1]]
-        p, q = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1) if len(p) else (none, none)
-        cols = np.concatenate([a, p]), np.concatenate([b, q]), np.arange(len(a) + len(p)) < len(a)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a", "b", "sure"])
+            open_ = ~at & (d <= OPEN * bits)
+            if most is None:
+                if open_.any():
+                    yield rows(node[i[open_]], node[j[open_]], False)
+                size += int(at.sum())
+            else:
+                held.append((i[open_], j[open_], d[open_]))
+                size += int((at | open_).sum())
+            if size > HELD + (most or 0) * len(node):
+                sure = forest(*(np.concatenate(x) for x in zip(sure, *taken, strict=True)))
+                taken, held = [], sort_out(held) if most else []
+                size = len(sure[0]) + (len(held[0][0]) if held else 0)
+        sure = forest(*(np.concatenate(x) for x in zip(sure, *taken, strict=True)))
+        yield rows(*sure, True)
+        if most is not None:
+            i, j, _ = sort_out(held)[0]
+            root = node.copy()
+            order = np.argsort(sure[0])
+            if len(order):
+                at = np.minimum(np.searchsorted(sure[0][order], node), len(order) - 1)
+                root = np.where(sure[0][order][at] == node, sure[1][order][at], node)
+            apart = root[i] != root[j]
+            p, q = node[i[apart]], node[j[apart]]
+            if len(p):
+                yield rows(*np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1), False)
+            more = np.unique(node[left_out])
+            yield rows(more, [None] * len(more), False)
 
 
 def _shingle_sets(words: int):
@@ -278,6 +296,24 @@ def _shingle_sets(words: int):
     return run
 
 
+def _apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    left, right = (of.select(F.col("id").alias(c), F.col("component_id").alias(f"{c}_of")) for c in "ab")
+    pairs = pairs.join(left, "a", "left").join(right, "b", "left")
+    return cut(pairs.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select("a", "b"))
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles reach ``similarity``."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = wanted.join(nodes, "node").select("node", "rep.did", "rep.th")
+    sets = texts.join(wanted, ["did", "th"]).select("node", "text").mapInArrow(_shingle_sets(words), "node long, set array<long>").dropDuplicates(["node"])
+    left, right = (sets.select(F.col("node").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    shared = F.size(F.array_intersect("a_set", "b_set"))
+    return both.where(shared >= F.lit(similarity) * (F.size("a_set") + F.size("b_set") - shared)).select("a", "b")
+
+
 def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document, that of the least id, of each group of near-duplicates.
 
@@ -288,26 +324,26 @@ def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: f
     arrow_limits(spark)
     ident = [F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(F.col(f"`{text}`")).alias("th")]
     texts = docs.select(*ident, F.col(f"`{text}`").alias("text"))
-    rows = cut(texts.mapInArrow(_sketches(words), "did long, th long, node long, w array<long>, s binary"))
-    nodes = cut(rows.groupBy("node", "w", "s").agg(F.min(F.struct("did", "th")).alias("rep")))
+    rows = cut(texts.mapInArrow(_sketches(words), "did long, th long, node long, w array<long>, s binary, m long"))
+    nodes = cut(rows.groupBy("node", "w", "s", "m").agg(F.min(F.struct("did", "th")).alias("rep")))
     masks = block_masks(NEAR_BLOCKS - NEAR_PICK, NEAR_BLOCKS)
     tables = [F.struct(F.lit(k * len(masks) + t).alias("tab"), F.element_at("w", k + 1).bitwiseAND(F.lit(m).cast("long")).alias("key")) for k in range(WORD_PRINTS) for t, m in enumerate(masks)]
-    keyed = nodes.select(F.explode(F.array(*tables)).alias("t"), "node", "s").select("t.tab", "t.key", "node", "s")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = cut(keyed.repartition(parts, "tab", "key").sortWithinPartitions("tab", "key").mapInArrow(_near_pairs, "a long, b long, sure boolean"))
-    sure = found.where("sure").select("a", "b")
-    joined = components(sure)
-    left, right = (joined.select(F.col("id").alias(c), F.col("component_id").alias(f"{c}_of")) for c in "ab")
-    open_ = found.where("NOT sure").select("a", "b").distinct().join(left, "a", "left").join(right, "b", "left")
-    open_ = cut(open_.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select("a", "b"))
-    wanted = open_.select(F.col("a").alias("node")).unionByName(open_.select(F.col("b").alias("node"))).distinct()
-    wanted = wanted.join(nodes, "node").select("node", "rep.did", "rep.th")
-    sets = texts.join(wanted, ["did", "th"]).select("node", "text").mapInArrow(_shingle_sets(words), "node long, set array<long>").dropDuplicates(["node"])
-    left, right = (sets.select(F.col("node").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
-    both = open_.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    near = both.where(shared >= F.lit(similarity) * (F.size("a_set") + F.size("b_set") - shared)).select("a", "b")
-    of = components(sure.unionByName(near))
+    left_over, links = nodes.withColumn("part", F.col("node")), None
+    for most in ROUNDS:
+        keyed = left_over.select(F.explode(F.array(*tables)).alias("t"), "node", "s", "m", "part").select("t.tab", "t.key", "node", "s", "m", "part")
+        sorted_ = keyed.repartition(parts, "tab", "key").sortWithinPartitions("tab", "key")
+        found = cut(sorted_.mapInArrow(lambda batches, most=most: _near_pairs(batches, most, similarity), "a long, b long, sure boolean"))
+        sure = found.where("sure").select("a", "b")
+        links = sure if links is None else links.unionByName(sure)
+        pairs = found.where("NOT sure AND b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = links.unionByName(cut(_alike(_apart(pairs, components(links)), texts, nodes, words, similarity)))
+        of = components(links)
+        again = found.where("b IS NULL").select(F.col("a").alias("node")).distinct()
+        if most is None or again.isEmpty():
+            break
+        parted = nodes.join(again, "node").join(of, F.col("node") == of["id"], "left")
+        left_over = cut(parted.select("node", "w", "s", "m", F.coalesce("component_id", "node").alias("part")))
     kept = nodes.join(of, nodes["node"] == of["id"], "left").groupBy(F.coalesce("component_id", "node").alias("c")).agg(F.min("rep").alias("rep")).select("rep.did", "rep.th")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *ident).join(kept, ["did", "th"])
     one = Window.partitionBy("did", "th").orderBy(F.lit(0))

@@ -235,6 +235,35 @@ def test_near_duplicates_equal_brute_force(spark, small, odd_docs, no_docs):
     assert simhash.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_near_duplicates_in_rounds(spark, monkeypatch):
+    """All pairs at 0.8 or more that share a bucket link, though texts name only their nearest first."""
+    rng = np.random.default_rng(7)
+    texts = []
+    for _ in range(3):
+        base = [f"w{k}" for k in rng.integers(0, 5000, 120)]
+        for _ in range(40):
+            copy = list(base)
+            for at in rng.choice(120, int(rng.integers(1, 4)), replace=False):
+                copy[at] = f"x{rng.integers(0, 10**6)}"
+            texts.append(" ".join(copy))
+    shingles = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    ids = pa.array(range(len(texts)))
+    (sketch,) = simhash._sketches(5)([pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["did", "th", "text"])])
+    prints = np.array(sketch.column("w").to_pylist())
+    masks = np.array(simhash.block_masks(simhash.NEAR_BLOCKS - simhash.NEAR_PICK, simhash.NEAR_BLOCKS))
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(shingles[i] & shingles[j])
+            meet = ((prints[i] ^ prints[j])[:, None] & masks == 0).any()
+            if meet and shared >= 0.8 * (len(shingles[i]) + len(shingles[j]) - shared):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    monkeypatch.setattr(simhash, "ROUNDS", (1, 2, None))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()) == sorted(set(root))
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + k, 301 + k) for k in range(30)]
