@@ -160,21 +160,31 @@ def classes(fps: DataFrame, differ: int = MAX_BITS, blocks: int = BLOCKS) -> Dat
     return nodes.join(of, nodes["rep"] == of["id"], "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
 
 
-# Near-duplicates at a lower similarity. At a Jaccard similarity of 0.8 over five-word
-# shingles, fingerprints of those shingles differ in about 15 % of their bits, too many for
-# blocks. Fingerprints of the same texts' distinct words differ in about 6 %: they share
-# blocks, and long fingerprints of the shingles decide which pairs are worth an exact comparison.
+# Near-duplicates at a lower similarity, found exactly. Of two sets of shingles at a Jaccard
+# similarity of t or more, each put in one and the same order, the first m - ceil(t m) + 1 of
+# either (its prefix; m is the set's size) have a shingle in common. The order is by rarity, so
+# prefixes rarely meet by chance; it only matters for speed. All pairs of texts whose prefixes meet
+# are compared exactly but those that are linked already and those that sizes or parities rule out.
+# Rounds over blocks of word fingerprints go before, and link most of a large group of near
+# copies by few comparisons. They may miss or leave out any pair.
 NEAR_WORDS = 5
 SIMILARITY = 0.8
 #: 64-bit fingerprints of the distinct words, and of the shingles.
 WORD_PRINTS, SHINGLE_PRINTS = 2, 8
 NEAR_BLOCKS, NEAR_PICK = 5, 2
-#: Shares of differing shingle bits: up to the first a pair is taken, beyond the second it is not, and
-#: the open pairs between them are compared exactly.
+#: Shares of differing shingle bits: up to the first a pair is taken, beyond the second it is left to the
+#: last round, and the open pairs between them are compared exactly.
 SURE, OPEN = 0.09, 0.195
 #: Open pairs are compared in rounds: each text's nearest so many in a bucket, then more of what the
-#: links found so far leave apart, and at last all of the rest.
+#: links found so far leave apart, and at last (None) all pairs whose prefixes meet.
 ROUNDS = (4, 64, None)
+#: Texts whose shingles are counted to tell the common ones, and how many of those go last in the order.
+SAMPLE, COMMON = 10_000, 100_000
+#: Bits of the parities: each tells whether an even or odd number of the set's hashes fall on it. Two sets
+#: differ in at least as many shingles as their parities in bits.
+PARITIES = 512
+#: Pairs that are held at a time in the last round.
+PAIRS = 1 << 19
 #: Open pairs that a task holds before it sorts out the nearest.
 HELD = 1_000_000
 
@@ -194,7 +204,41 @@ def _distinct(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return hashes[new], np.bincount(of[new], minlength=len(counts))
 
 
-def _sketches(words: int):
+def _common(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes, sorted, that more than one of a sample of texts has, and the number of those texts."""
+    every = max(1, texts.count() // SAMPLE)
+    some = texts.where(F.pmod("th", F.lit(every)) == 0).select(F.col("th").alias("node"), "text").dropDuplicates(["node"])
+    counts = some.mapInArrow(_shingle_sets(words), "node long, set array<long>").select(F.explode("set").alias("h")).groupBy("h").count()
+    found = counts.where("count > 1").orderBy(F.desc("count"), "h").limit(COMMON).toArrow()
+    hashes = found["h"].to_numpy().view(U64)
+    order = np.argsort(hashes)
+    return hashes[order], found["count"].to_numpy().astype(np.int32)[order]
+
+
+def _prefixes(hashes: np.ndarray, counts: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+    """The prefixes of sets of distinct hashes, each sorted, end to end, and the length of each."""
+    of = np.repeat(np.arange(len(counts)), counts)
+    if common is not None and len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], hashes), len(common[0]) - 1)
+        rank = np.where(common[0][at] == hashes, common[1][at], 0)
+        hashes = hashes[np.lexsort((hashes, rank, of))]
+    size = np.minimum(counts, counts - np.ceil(similarity * counts - 1e-9).astype(np.int64) + 1)
+    return hashes[np.arange(len(of)) - (np.cumsum(counts) - counts)[of] < size[of]], size
+
+
+def _parities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    at = np.repeat(np.arange(len(counts)), counts) * PARITIES + (hashes & U64(PARITIES - 1)).astype(np.int64)
+    odd = np.bincount(at, minlength=len(counts) * PARITIES).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(-1, PARITIES), axis=1)
+
+
+def _binaries(table: np.ndarray) -> pa.Array:
+    """One binary value for each row of bytes."""
+    width = table.shape[1] * table.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(table), [None, pa.py_buffer(table.tobytes())]).cast(pa.binary())
+
+
+def _sketches(words: int, similarity: float = SIMILARITY, common: tuple[np.ndarray, np.ndarray] | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in text_slices(batch):
@@ -208,8 +252,10 @@ def _sketches(words: int):
                     sums = np.concatenate([[U64(0)], np.cumsum(mixed(hashes ^ place))])
                     node = mixed(sums[at + counts] - sums[at] + counts.astype(U64))
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(single.view(np.int64).ravel()), WORD_PRINTS).cast(pa.list_(pa.int64()))
-                own = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * SHINGLE_PRINTS), j - i, [None, pa.py_buffer(long.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(node.view(np.int64)), lists, own, pa.array(each[1].astype(np.int64))], names=["did", "th", "node", "w", "s", "m"])
+                prefix, size = _prefixes(*each, similarity, common)
+                firsts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))
+                own = [lists, _binaries(long), pa.array(each[1].astype(np.int64)), firsts, _binaries(_parities(*each))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(node.view(np.int64)), *own], names=["did", "th", "node", "w", "s", "m", "x", "p"])
 
     return run
 
@@ -224,11 +270,11 @@ def _nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray, most: int) -> np.ndarr
     return near[: len(i)] | near[len(i) :]
 
 
-def _near_pairs(batches: Iterator[pa.RecordBatch], most: int | None, similarity: float) -> Iterator[pa.RecordBatch]:
+def _near_pairs(batches: Iterator[pa.RecordBatch], most: int, similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs in a bucket, of texts not yet linked, whose shingle fingerprints are near enough.
 
     Sure ones are returned as a spanning forest, open ones as they are: each text's ``most``
-    nearest, or all. A text that has other open pairs is returned without a partner; the
+    nearest. A text that has other open pairs is returned without a partner; the
     pairs left out are pairs of two such texts.
     """
     bits = 64 * SHINGLE_PRINTS
@@ -256,32 +302,58 @@ def _near_pairs(batches: Iterator[pa.RecordBatch], most: int | None, similarity:
             at = d <= SURE * bits
             taken.append((node[i[at]], node[j[at]]))
             open_ = ~at & (d <= OPEN * bits)
-            if most is None:
-                if open_.any():
-                    yield rows(node[i[open_]], node[j[open_]], False)
-                size += int(at.sum())
-            else:
-                held.append((i[open_], j[open_], d[open_]))
-                size += int((at | open_).sum())
-            if size > HELD + (most or 0) * len(node):
+            held.append((i[open_], j[open_], d[open_]))
+            size += int((at | open_).sum())
+            if size > HELD + most * len(node):
                 sure = forest(*(np.concatenate(x) for x in zip(sure, *taken, strict=True)))
-                taken, held = [], sort_out(held) if most else []
-                size = len(sure[0]) + (len(held[0][0]) if held else 0)
+                taken, held = [], sort_out(held)
+                size = len(sure[0]) + len(held[0][0])
         sure = forest(*(np.concatenate(x) for x in zip(sure, *taken, strict=True)))
         yield rows(*sure, True)
-        if most is not None:
-            i, j, _ = sort_out(held)[0]
-            root = node.copy()
-            order = np.argsort(sure[0])
-            if len(order):
-                at = np.minimum(np.searchsorted(sure[0][order], node), len(order) - 1)
-                root = np.where(sure[0][order][at] == node, sure[1][order][at], node)
-            apart = root[i] != root[j]
-            p, q = node[i[apart]], node[j[apart]]
+        i, j, _ = sort_out(held)[0]
+        root = node.copy()
+        order = np.argsort(sure[0])
+        if len(order):
+            at = np.minimum(np.searchsorted(sure[0][order], node), len(order) - 1)
+            root = np.where(sure[0][order][at] == node, sure[1][order][at], node)
+        apart = root[i] != root[j]
+        p, q = node[i[apart]], node[j[apart]]
+        if len(p):
+            yield rows(*np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1), False)
+        more = np.unique(node[left_out])
+        yield rows(more, [None] * len(more), False)
+
+
+def _across(group: np.ndarray, part: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one group and different parts, of rows sorted by both, about ``PAIRS`` at a time."""
+    n = len(group)
+    ends = lambda new: np.repeat(np.append(np.flatnonzero(new) + 1, n), np.diff(np.concatenate([[0], np.flatnonzero(new) + 1, [n]])))
+    edge = group[1:] != group[:-1]
+    other = ends(edge | (part[1:] != part[:-1]))
+    count = ends(edge) - other
+    total = np.cumsum(count)
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(total, total[a] - count[a] + PAIRS, "right")))
+        i = np.repeat(np.arange(a, b), count[a:b])
+        if len(i):
+            yield i, other[i] + np.arange(len(i)) - np.repeat(total[a:b] - count[a:b] - total[a] + count[a], count[a:b])
+        a = b
+
+
+def _meeting_pairs(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Pairs that share a shingle of their prefixes and aren't linked, but those that can't reach ``similarity``."""
+    for _, key, node, parity, count, part in buckets(batches):
+        bits = np.frombuffer(b"".join(parity), U64).reshape(-1, PARITIES // 64)
+        for i, j in _across(key, part):
+            at = np.minimum(count[i], count[j]) >= similarity * np.maximum(count[i], count[j]) - 1e-9
+            i, j = i[at], j[at]
+            most = (1 - similarity) / (1 + similarity) * (count[i] + count[j]) + 1e-9  # shingles that only one of them has
+            at = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= most
+            p, q = node[i[at]], node[j[at]]
             if len(p):
-                yield rows(*np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1), False)
-            more = np.unique(node[left_out])
-            yield rows(more, [None] * len(more), False)
+                pairs = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
 def _shingle_sets(words: int):
@@ -324,13 +396,14 @@ def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: f
     arrow_limits(spark)
     ident = [F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(F.col(f"`{text}`")).alias("th")]
     texts = docs.select(*ident, F.col(f"`{text}`").alias("text"))
-    rows = cut(texts.mapInArrow(_sketches(words), "did long, th long, node long, w array<long>, s binary, m long"))
-    nodes = cut(rows.groupBy("node", "w", "s", "m").agg(F.min(F.struct("did", "th")).alias("rep")))
+    common = _common(texts, words)
+    rows = cut(texts.mapInArrow(_sketches(words, similarity, common), "did long, th long, node long, w array<long>, s binary, m long, x array<long>, p binary"))
+    nodes = cut(rows.groupBy("node", "w", "s", "m").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("x").alias("x"), F.first("p").alias("p")))
     masks = block_masks(NEAR_BLOCKS - NEAR_PICK, NEAR_BLOCKS)
     tables = [F.struct(F.lit(k * len(masks) + t).alias("tab"), F.element_at("w", k + 1).bitwiseAND(F.lit(m).cast("long")).alias("key")) for k in range(WORD_PRINTS) for t, m in enumerate(masks)]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     left_over, links = nodes.withColumn("part", F.col("node")), None
-    for most in ROUNDS:
+    for most in ROUNDS[:-1]:
         keyed = left_over.select(F.explode(F.array(*tables)).alias("t"), "node", "s", "m", "part").select("t.tab", "t.key", "node", "s", "m", "part")
         sorted_ = keyed.repartition(parts, "tab", "key").sortWithinPartitions("tab", "key")
         found = cut(sorted_.mapInArrow(lambda batches, most=most: _near_pairs(batches, most, similarity), "a long, b long, sure boolean"))
@@ -340,10 +413,17 @@ def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: f
         links = links.unionByName(cut(_alike(_apart(pairs, components(links)), texts, nodes, words, similarity)))
         of = components(links)
         again = found.where("b IS NULL").select(F.col("a").alias("node")).distinct()
-        if most is None or again.isEmpty():
+        if again.isEmpty():
             break
         parted = nodes.join(again, "node").join(of, F.col("node") == of["id"], "left")
         left_over = cut(parted.select("node", "w", "s", "m", F.coalesce("component_id", "node").alias("part")))
+    prefixes = nodes.select(F.explode("x").alias("key"), "node").withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    shared = cut(prefixes.where("n > 1").select("key", "node"))
+    parted = nodes.join(of, nodes["node"] == of["id"], "left").select("node", "p", "m", F.coalesce("component_id", "node").alias("part"))
+    keyed = shared.join(parted, "node").select(F.lit(0).alias("tab"), "key", "node", "p", "m", "part")
+    sorted_ = keyed.repartition(parts, "key").sortWithinPartitions("key", "part")
+    pairs = cut(sorted_.mapInArrow(lambda batches: _meeting_pairs(batches, similarity), "a long, b long").distinct())
+    of = components(links.unionByName(cut(_alike(pairs, texts, nodes, words, similarity))))
     kept = nodes.join(of, nodes["node"] == of["id"], "left").groupBy(F.coalesce("component_id", "node").alias("c")).agg(F.min("rep").alias("rep")).select("rep.did", "rep.th")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *ident).join(kept, ["did", "th"])
     one = Window.partitionBy("did", "th").orderBy(F.lit(0))

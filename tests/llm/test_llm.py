@@ -264,6 +264,55 @@ def test_near_duplicates_in_rounds(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()) == sorted(set(root))
 
 
+def copies(kind: str, n: int, rng) -> tuple[list[str], list[str]]:
+    """A text of n words and one with words added behind or cut off, at a similarity of 0.8 or a little more."""
+    base = [f"w{k}" for k in rng.integers(0, 10**6, n)]
+    more = [f"x{k}" for k in rng.integers(0, 10**6, (n - 4) // 4)]
+    return base, base + more if kind == "appended" else base[: 4 + -(-4 * (n - 4) // 5)]
+
+
+def kept_of(spark, texts: list[str]) -> list[int]:
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect())
+
+
+@pytest.mark.parametrize("kind", ["appended", "truncated"])
+def test_near_duplicates_with_a_passage_more_or_less(spark, kind):
+    """All pairs at 0.8 or more link, however few word fingerprints share a block."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(t) for n in rng.integers(60, 600, 60).tolist() for t in copies(kind, n, rng)]
+    shingles = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    alike = lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])
+    want = sorted(set(classes_of(range(len(texts)), alike).values()))
+    assert len(want) == 60 and kept_of(spark, texts) == want
+
+
+def test_near_duplicates_in_rounds_equal_all_pairs(spark, monkeypatch):
+    """Groups of near copies around 0.8, linked in rounds: the result is that of all pairs, share a bucket or not."""
+    rng = np.random.default_rng(7)
+    texts = []
+    for _ in range(3):
+        base = [f"w{k}" for k in rng.integers(0, 5000, 120)]
+        for _ in range(40):
+            copy = list(base)
+            for at in rng.choice(120, int(rng.integers(1, 4)), replace=False):
+                copy[at] = f"x{rng.integers(0, 10**6)}"
+            texts.append(" ".join(copy))
+    shingles = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    want = classes_of(range(len(texts)), lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]))
+    monkeypatch.setattr(simhash, "ROUNDS", (1, 2, None))
+    assert kept_of(spark, texts) == sorted(set(want.values()))
+
+
+def test_meeting_pairs_are_all_pairs_across_parts():
+    rng = np.random.default_rng(5)
+    group, part = rng.integers(0, 6, 80), rng.integers(0, 4, 80)
+    order = np.lexsort((part, group))
+    group, part = group[order], part[order]
+    got = [(int(a), int(b)) for i, j in simhash._across(group, part) for a, b in zip(i, j, strict=True)]
+    assert sorted(got) == [(a, b) for a in range(80) for b in range(a + 1, 80) if group[a] == group[b] and part[a] != part[b]]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + k, 301 + k) for k in range(30)]
