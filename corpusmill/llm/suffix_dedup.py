@@ -48,6 +48,8 @@ GRAM = 16
 PIECE = 1 << 24
 BLOCK = 1_500_000
 MAX_GROUP = 16_384
+#: Ranks below it are packed three to a number and sorted at once; in larger blocks by three columns.
+FIELD = 1 << 21
 #: Windows of a split context, level by level; 0 stands for the anchor's own.
 LEVELS = (0, 8, 1)
 _BYTE = mixed(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
@@ -171,23 +173,29 @@ class RunLengthIndex:
         for h in (24, 72):
             lower, r = self.ranks[-1]
             at = np.flatnonzero(self.left >= h)
-            self._rank(h, at, self._triple(r[at], r[at + lower], r[at + 2 * lower]))
+            self._rank(h, at, r[at], r[at + lower], r[at + 2 * lower])
         r = self.ranks[-1][1]
         at = np.flatnonzero(self.left >= LENGTH)
-        keys = self._triple(r[at], r[at + 72], r[at + LENGTH - 72])
-        self.order = at[np.argsort(keys, kind="stable")]
+        self.order = at[self._sorted(r[at], r[at + 72], r[at + LENGTH - 72], kind="stable")[0]]
         self.row = np.full(n, -1, np.int64)
         self.row[self.order] = np.arange(len(self.order))
 
     @staticmethod
-    def _triple(a, b, c):
-        return (a.astype(np.int64) << 42) | (b.astype(np.int64) << 21) | c
-
-    def _rank(self, h: int, at: np.ndarray, keys: np.ndarray) -> None:
-        order = np.argsort(keys)
-        sorted_ = keys[order]
+    def _sorted(*keys: np.ndarray, kind: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The order of rows by ``keys``, and which of them, in order, differ from the row before."""
+        if len(keys) == 3 and max((int(k.max()) for k in keys if len(k)), default=0) < FIELD:
+            a, b, c = keys
+            keys = ((a.astype(np.int64) << 42) | (b.astype(np.int64) << 21) | c,)
+        order = np.argsort(keys[0], kind=kind) if len(keys) == 1 else np.lexsort(keys[::-1])
+        new = np.zeros(max(len(order) - 1, 0), bool)
+        for k in keys:
+            new |= k[order[1:]] != k[order[:-1]]
+        return order, new
+
+    def _rank(self, h: int, at: np.ndarray, *keys: np.ndarray) -> None:
+        order, new = self._sorted(*keys)
         rank = np.empty(len(at), np.int32)
-        rank[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
+        rank[order] = np.concatenate([[0], np.cumsum(new)])[: len(order)]
         full = np.full(len(self.data), -1, np.int32)
         full[at] = rank
         self.ranks.append((h, full))

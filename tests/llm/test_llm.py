@@ -97,6 +97,24 @@ def test_matching_statistics_equal_longest_matches():
             assert (got[at + i] >= 200) == (count[p[i : i + 200]] > 1)
 
 
+def test_index_of_a_block_of_over_two_million_grams():
+    """Ranks beyond 21 bits: the windows' order and matches are right."""
+    rng = np.random.default_rng(2)
+    size, n = 384, 8000  # 3 MB; nearly all 8-, 24- and 72-grams are different
+    data = rng.integers(0, 256, n * size, dtype=np.uint8)
+    again = rng.choice(n, 40, replace=False).reshape(20, 2)
+    for a, b in again:  # 210 bytes in common: 11 windows each
+        data[b * size + 100 : b * size + 310] = data[a * size + 50 : a * size + 260]
+    index = suffix_dedup.RunLengthIndex(data, np.arange(n + 1) * size)
+    assert index.ranks[0][1].max() >= 1 << 21
+    order = index.order
+    first = [data[order + k].astype(np.int64) for k in range(8)]
+    lead = sum(x << (8 * (6 - k)) for k, x in enumerate(first[:7]))
+    assert (lead[1:] >= lead[:-1]).all()
+    want = {int(x) for a, b in again for x in (*range(a * size + 50, a * size + 61), *range(b * size + 100, b * size + 111))}
+    assert set(np.flatnonzero(index.statistics() >= 200).tolist()) == want
+
+
 # --- toxicity
 
 
