@@ -322,6 +322,16 @@ def test_near_duplicates_in_rounds_equal_all_pairs(spark, monkeypatch):
     assert kept_of(spark, texts) == sorted(set(want.values()))
 
 
+def test_short_near_duplicates(spark):
+    """Texts of 8 and 9 words (4 and 5 shingles, similarity 0.8) link, whatever their fingerprints."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for _ in range(60):
+        words = [f"w{k}" for k in rng.integers(0, 10**6, 9)]
+        texts += [" ".join(words), " ".join(words[:8])]
+    assert kept_of(spark, texts) == list(range(0, 120, 2))
+
+
 def test_meeting_pairs_are_all_pairs_across_parts():
     rng = np.random.default_rng(5)
     group, part = rng.integers(0, 6, 80), rng.integers(0, 4, 80)
