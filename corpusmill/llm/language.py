@@ -14,6 +14,9 @@ posteriors, each shrunk by ``STRENGTH`` records towards the level above. The agg
 are combined before their shuffle, so a host with a third of all records is a
 few partial rows; records meet their host's row in a join that may be split.
 
+Every label of the documents is learned. The model has ``BUCKETS`` float32 numbers for each (256 kB), so
+memory grows with the labels.
+
 Records are pages (url and html) and documents (text and source, which has the host's part).
 
 Defined results: missing evidence (null or empty text, no declaration, no url) is no
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import LOWER, arrow_limits, byte_table, text_slices
@@ -36,7 +39,6 @@ from corpusmill.plans.lineage import cut
 
 #: Training documents of each language, the first in hash order.
 MAX_TRAINING = 400
-MAX_LANGUAGES = 64
 BUCKETS = 1 << 16
 TEXT_TRIGRAMS = 40
 STRENGTH = 5.0
@@ -67,13 +69,13 @@ def train(docs: DataFrame, label: str = "lang") -> tuple[list[str], np.ndarray]:
     spark = docs.sparkSession
     arrow_limits(spark)
     known = docs.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), F.col(label).alias("l"))
-    names = sorted(r["l"] for r in known.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect())
+    names = sorted(r["l"] for r in known.select("l").distinct().collect())
     if not names:
         return ["und"], np.zeros((BUCKETS, 1), np.float32)
-    chosen = None
-    for k, name in enumerate(names):
-        some = known.where(F.col("l") == name).orderBy(F.xxhash64("id"), "id").limit(MAX_TRAINING).select("id", F.lit(k).alias("k"))
-        chosen = some if chosen is None else chosen.unionByName(some)
+    # each task keeps the first of a label before they are dealt, so a common label is no large group
+    first = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("id"), "id"))
+    chosen = known.withColumn("n", first).where(F.col("n") <= MAX_TRAINING)
+    chosen = chosen.join(F.broadcast(spark.createDataFrame(list(enumerate(names)), "k int, l string")), "l").select("id", "k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -110,17 +112,17 @@ def text_scores(records: DataFrame, table: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, markup = len(kept), len(kept) + 1
+        step = max(1, (1 << 24) // model.shape[1])  # trigrams at a time
         for batch in batches:
             rows = []
             marks = batch.column(markup).to_numpy(zero_copy_only=False)
             for i, j, data, offsets in text_slices(batch, "text"):
                 of, bucket = trigrams(visible(data, offsets, marks[i:j]) if marks[i:j].any() else data, offsets)
                 n = np.bincount(of, minlength=j - i)
-                first = np.searchsorted(of, np.arange(j - i))
                 z = np.zeros((j - i, model.shape[1]))
-                some = np.flatnonzero(n)
-                if len(some):
-                    z[some] = np.add.reduceat(model[bucket], first[some], axis=0)
+                for a in range(0, len(of), step):
+                    first = np.flatnonzero(np.diff(of[a : a + step], prepend=-1))
+                    z[of[a + first]] += np.add.reduceat(model[bucket[a : a + step]], first, axis=0)
                 rows.append(z * (np.minimum(n, TEXT_TRIGRAMS) / np.maximum(n, 1))[:, None])
             z = np.concatenate(rows) if rows else np.zeros((0, model.shape[1]))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(z) + 1, dtype=np.int32) * z.shape[1]), pa.array(z.ravel()))

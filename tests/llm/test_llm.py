@@ -458,6 +458,18 @@ def plain_decode(media: bytes) -> list[int]:
     return out
 
 
+def test_language_learns_every_label(spark):
+    """More than 64 labels, the rarest of one document among them."""
+    word = lambda k: " ".join(chr(97 + (k + a) % 26) + chr(97 + k // 26) + chr(97 + (k * 7 + a) % 26) for a in range(5))
+    rows = [(3 * k + c, f"{word(k)} " * 20, f"l{k:02}", None) for k in range(70) for c in range(3 if k < 69 else 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    names, table = language.train(docs)
+    assert names == [f"l{k:02}" for k in range(70)] and table.shape == (language.BUCKETS, 70)
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    got = {r["doc_id"]: r["predicted"] for r in language.identify(pages, docs).collect()}
+    assert got == {d: label for d, _, label, _ in rows}
+
+
 def test_jpeg_round_trip_and_a_plain_decoder(odd_docs, no_docs):
     raw = [b"", b"\xff" * 500, bytes(range(256)) * 3, b"x" * 60000]
     batch = pa.RecordBatch.from_arrays([pa.array(raw, pa.binary())], names=["text"])
