@@ -37,7 +37,8 @@ from corpusmill.llm.kernels import U64, arrow_limits, text_slices
 
 UNIT = 192
 SLICE = 1 << 20
-ACROSS = 256  # units in a row of the picture
+ACROSS = 256  # units in a row of the picture, more where it would be over SIDE units high
+SIDE = 8191  # units of a side of 16 bits
 
 # Fixed values of the JPEG format: the markers used here.
 SOI, EOI, SOF0, DHT, DQT, DRI, SOS, COM, APP0, RST0 = 0xD8, 0xD9, 0xC0, 0xC4, 0xDB, 0xDD, 0xDA, 0xFE, 0xE0, 0xD0
@@ -63,6 +64,12 @@ def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, at
 
 
+def grid(n: int) -> tuple[int, int]:
+    """Units across and down of a picture of n units."""
+    w = min(n, max(ACROSS, -(-n // SIDE)))
+    return w, -(-n // w)
+
+
 def encode(payload: np.ndarray, at: np.ndarray) -> list[bytes]:
     """One JPEG for each payload ``payload[at[i] : at[i + 1]]``."""
     bits = np.zeros((len(payload), 9), np.uint8)
@@ -75,8 +82,7 @@ def encode(payload: np.ndarray, at: np.ndarray) -> list[bytes]:
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         n = b - a
-        w = min(n, ACROSS)
-        h = -(-n // w)
+        w, h = grid(n)
         head = b"\xff\xd8" + _segment(APP0, b"JFIF\0\1\1\0\0\1\0\1\0\0") + _segment(COM, b"units %d" % n) + _TABLES
         head += _segment(SOF0, bytes([8]) + (8 * h).to_bytes(2, "big") + (8 * w).to_bytes(2, "big") + bytes([3, 1, 0x11, 0, 2, 0x11, 0, 3, 0x11, 0])) + _SCAN
         if stuffed[a:b].any():

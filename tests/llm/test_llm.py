@@ -489,6 +489,12 @@ def test_jpeg_round_trip_and_a_plain_decoder(odd_docs, no_docs):
     assert jpeg.media_columns(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 256, 257, 256 * 8191, 256 * 8191 + 1, 8191 * 8191])
+def test_jpeg_sides_fit_16_bits(n):
+    w, h = jpeg.grid(n)
+    assert 8 * w < 1 << 16 and 8 * h < 1 << 16 and w * (h - 1) < n <= w * h and (w == min(n, 256) or n > 256 * 8191)
+
+
 def test_jpeg_reader_takes_runs_and_no_restarts():
     """Other tables: DC categories 0 and 2, AC end of block, run 3 of size 1, and sixteen zeros; no restarts."""
     dc = bytes([0, 2] + [0] * 14) + bytes([0, 2])
