@@ -99,15 +99,15 @@ def block_masks(differ: int = MAX_BITS, blocks: int = BLOCKS) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of whole buckets, ``RUN`` rows or more at a time, of a partition sorted by (tab, key)."""
+def buckets(batches: Iterator[pa.RecordBatch], run: int = RUN) -> Iterator[list[np.ndarray]]:
+    """The columns of whole buckets, ``run`` rows or more at a time, of a partition sorted by its first two columns."""
     held: list[list[np.ndarray]] = []
     rows = 0
-    plain = lambda c: np.array(c.to_pylist(), dtype=object) if pa.types.is_binary(c.type) else np.asarray(c)
+    plain = lambda c: np.array(c.to_pylist(), dtype=object) if pa.types.is_binary(c.type) else c.to_numpy(zero_copy_only=False)
     for batch in batches:
         held.append([plain(batch.column(k)) for k in range(batch.num_columns)])
         rows += batch.num_rows
-        if rows >= RUN:
+        if rows >= run:
             cols = [np.concatenate(c) for c in zip(*held, strict=True)]
             change = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]))
             n = change[-1] + 1 if len(change) else 0  # the last bucket may go on in the next batch
@@ -160,38 +160,65 @@ def classes(fps: DataFrame, differ: int = MAX_BITS, blocks: int = BLOCKS) -> Dat
     return nodes.join(of, nodes["rep"] == of["id"], "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
 
 
-# Near-duplicates at a lower similarity, found exactly. Of two sets of shingles at a Jaccard
-# similarity of t or more, each put in one and the same order, the first m - ceil(t m) + 1 of
-# either (its prefix; m is the set's size) have a shingle in common. The order is by rarity, so
-# prefixes rarely meet by chance; it only matters for speed. All pairs of texts whose prefixes meet
-# are compared exactly but those that are linked already and those that sizes or parities rule out.
-# Rounds over blocks of word fingerprints go before, and link most of a large group of near
-# copies by few comparisons. They may miss or leave out any pair.
+# Near-duplicates at a lower similarity. Two steps, each linear in the rows but for texts that are
+# nearly as alike as wanted:
+#
+# 1. Pigeonhole blocks over SimHash prints of the distinct words. Of each bucket one text, the pivot,
+#    is compared with the others: by Hamming distance, and where that is small exactly. The pivot is the text
+#    with the most shingles that are common in a sample, in a large group of near copies the one that
+#    most copies are nearest to. This links most of a large group by one comparison for each text.
+# 2. The exact rest. Of two sets of shingles at a Jaccard similarity of t or more, each put in one and the
+#    same order, the first m - ceil(t m) + 1 of either (its prefix; m is the set's size) have a shingle in
+#    common. Texts of different components so far that meet there, and that neither sizes, places nor parities
+#    rule out, are joined to candidate groups; in each group the sets are compared exactly.
+#
+# A key or group that is too large for a task is dealt out in chunks (``dealt``). Only spanning forests leave a task.
 NEAR_WORDS = 5
 SIMILARITY = 0.8
-#: 64-bit fingerprints of the distinct words, and of the shingles.
-WORD_PRINTS, SHINGLE_PRINTS = 2, 8
-NEAR_BLOCKS, NEAR_PICK = 5, 2
-#: Shares of differing shingle bits: up to the first a pair is taken, beyond the second it is left to the
-#: last round, and the open pairs between them are compared exactly.
-SURE, OPEN = 0.09, 0.195
-#: Open pairs are compared in rounds: each text's nearest so many in a bucket, then more of what the
-#: links found so far leave apart, and at last (None) all pairs whose prefixes meet.
-ROUNDS = (4, 64, None)
+#: 64-bit prints of the distinct words, the blocks of each, how many a bucket shares, and the bits in which a text may differ from its pivot.
+WORD_PRINTS, NEAR_BLOCKS, NEAR_PICK, NEAR_BITS = 2, 5, 2, 32
 #: Texts whose shingles are counted to tell the common ones, and how many of those go last in the order.
 SAMPLE, COMMON = 10_000, 100_000
-#: Bits of the parities: each tells whether an even or odd number of the set's hashes fall on it. Two sets
-#: differ in at least as many shingles as their parities in bits.
+#: Parity bits of a set, a power of two and at least twice its size: each tells whether an even or odd number of the
+#: hashes fall on it. Two sets differ in at least as many shingles as their parities in bits.
 PARITIES = 512
-#: Pairs that are held at a time in the last round.
+#: Pairs that are held at a time.
 PAIRS = 1 << 19
-#: Open pairs that a task holds before it sorts out the nearest.
-HELD = 1_000_000
+#: Rows of one key in a task, or shingles of one group in units of ``WEIGHT``.
+CHUNK, WEIGHT = 1024, 512
 
 
-def _prints(hashes: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.stack([majority(mixed(hashes + U64(k + 1)), counts) for k in range(n)], axis=1)
+def dealt(rows: DataFrame, keys: list[str], most: int | None = None) -> DataFrame:
+    """The rows of keys that hold more than one ``part``, dealt to tasks of bounded weight.
+
+    ``rows`` has ``node``, ``part`` and ``weight``. Pairs of one part needn't meet. A key of at most ``most`` is
+    one task. Of a heavier one, the rows of its heaviest part and the others are cut into chunks, and each pair of
+    chunks is a task but those of two chunks of that part: so a group that is linked but for a few texts
+    costs no more than its rows times those few. Adds ``task``, the row's own ``chunk``, and whether the task is one ``whole`` chunk.
+    """
+    most = most or CHUNK
+    weights = rows.groupBy(*keys).agg(F.sum("weight").alias("__n"), F.min("part").alias("__p"), F.max("part").alias("__q"))
+    rows = rows.join(weights.where("__p <> __q").drop("__p", "__q"), keys)
+    task = lambda a, b: F.xxhash64(*keys, a, b).alias("task")
+    kept = [c for c in rows.columns if c not in ("__n", "weight")]
+    zero = F.lit(0).cast("long")
+    cold = rows.where(F.col("__n") <= most).select(*kept, task(zero, zero), zero.alias("chunk"), F.lit(True).alias("whole"))
+    hot = rows.where(F.col("__n") > most)
+    shares = hot.groupBy(*keys, "part").agg(F.sum("weight").alias("w"))
+    shares = shares.groupBy(*keys).agg(F.max_by("part", F.struct("w", "part")).alias("__main"), F.max("w").alias("__w"))
+    first, second = (F.ceil(x / most).cast("long") for x in (F.col("__w"), F.col("__n") - F.col("__w")))
+    spot = F.xxhash64("node", F.lit(1))
+    own = F.when(F.col("part") == F.col("__main"), F.pmod(spot, first)).otherwise(first + F.pmod(spot, second))
+    other = F.sequence(F.when(F.col("part") == F.col("__main"), first).otherwise(zero), first + second - 1)
+    hot = hot.join(shares, keys).select(*kept, own.alias("chunk"), F.explode(other).alias("__other"))
+    hot = hot.select(*kept, task(F.least("chunk", "__other"), F.greatest("chunk", "__other")), "chunk", (F.col("chunk") == F.col("__other")).alias("whole"))
+    # a task of two chunks has rows of both: neither is whole; a row meets its own chunk in a task of its own
+    return cold.unionByName(hot)
+
+
+def sorted_tasks(rows: DataFrame, *order: str) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "task").sortWithinPartitions("task", *order)
 
 
 def _distinct(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,27 +242,53 @@ def _common(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], found["count"].to_numpy().astype(np.int32)[order]
 
 
-def _prefixes(hashes: np.ndarray, counts: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
-    """The prefixes of sets of distinct hashes, each sorted, end to end, and the length of each."""
+def _prefixes(hashes: np.ndarray, counts: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The prefixes of sets of distinct hashes, each sorted, end to end, the length of each, and each set's number of common hashes."""
     of = np.repeat(np.arange(len(counts)), counts)
+    rank = np.zeros(len(hashes), np.int32)
     if common is not None and len(common[0]):
         at = np.minimum(np.searchsorted(common[0], hashes), len(common[0]) - 1)
         rank = np.where(common[0][at] == hashes, common[1][at], 0)
         hashes = hashes[np.lexsort((hashes, rank, of))]
     size = np.minimum(counts, counts - np.ceil(similarity * counts - 1e-9).astype(np.int64) + 1)
-    return hashes[np.arange(len(of)) - (np.cumsum(counts) - counts)[of] < size[of]], size
+    return hashes[np.arange(len(of)) - (np.cumsum(counts) - counts)[of] < size[of]], size, np.bincount(of, rank > 0, len(counts))
+
+
+def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary values of the given sizes from bytes end to end."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _parities(hashes: np.ndarray, counts: np.ndarray) -> pa.Array:
+    bits = np.left_shift(1, np.maximum(np.ceil(np.log2(np.maximum(2 * counts, PARITIES))).astype(np.int64), 1))
+    begin = np.cumsum(bits) - bits
+    at = np.repeat(begin, counts) + (hashes & np.repeat(bits - 1, counts).astype(U64)).astype(np.int64)
+    return _binaries(np.packbits(np.bincount(at, minlength=int(bits.sum())).astype(np.uint8) & 1), bits // 8)
 
 
-def _parities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    at = np.repeat(np.arange(len(counts)), counts) * PARITIES + (hashes & U64(PARITIES - 1)).astype(np.int64)
-    odd = np.bincount(at, minlength=len(counts) * PARITIES).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(-1, PARITIES), axis=1)
+class Parities:
+    """Parities of rows, to be compared at the shorter of two lengths."""
 
+    def __init__(self, values: np.ndarray):
+        data = np.frombuffer(b"".join(values), np.uint8)
+        self.width = np.array([len(x) for x in values], np.int64)
+        begin = np.cumsum(self.width) - self.width
+        self.levels = {}
+        for width in np.unique(self.width).tolist():
+            spot = np.full(len(values), -1)
+            rows = [np.flatnonzero(self.width == w) for w in (width, 2 * width)]
+            spot[np.concatenate(rows)] = np.arange(sum(map(len, rows)))
+            same, twice = (data[begin[r][:, None] + np.arange(w)] for r, w in zip(rows, (width, 2 * width), strict=True))
+            self.levels[width] = spot, np.concatenate([same, twice[:, :width] ^ twice[:, width:]]).view(U64)
 
-def _binaries(table: np.ndarray) -> pa.Array:
-    """One binary value for each row of bytes."""
-    width = table.shape[1] * table.itemsize
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(table), [None, pa.py_buffer(table.tobytes())]).cast(pa.binary())
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Bits in which rows i and j differ; 0 where one is over twice as long as the other."""
+        out, shorter = np.zeros(len(i), np.int64), np.minimum(self.width[i], self.width[j])
+        for width, (spot, table) in self.levels.items():
+            at = np.flatnonzero((shorter == width) & (spot[i] >= 0) & (spot[j] >= 0))
+            out[at] = np.bitwise_count(table[spot[i[at]]] ^ table[spot[j[at]]]).sum(axis=1)
+        return out
 
 
 def _sketches(words: int, similarity: float = SIMILARITY, common: tuple[np.ndarray, np.ndarray] | None = None):
@@ -243,85 +296,40 @@ def _sketches(words: int, similarity: float = SIMILARITY, common: tuple[np.ndarr
         for batch in batches:
             for i, j, data, offsets in text_slices(batch):
                 with np.errstate(over="ignore"):
-                    single = _prints(*_distinct(*shingle_hashes(data, offsets, 1)), WORD_PRINTS)
+                    single = _distinct(*shingle_hashes(data, offsets, 1))
+                    prints = [majority(mixed(single[0] + U64(k + 1)), single[1]).view(np.int64) for k in range(WORD_PRINTS)]
                     hashes, counts = shingle_hashes(data, offsets, words)
                     each = _distinct(hashes, counts)  # similarity is one of sets
-                    long = _prints(*each, SHINGLE_PRINTS)
                     at = np.cumsum(counts) - counts
                     place = mixed(np.arange(len(hashes), dtype=U64) - np.repeat(at, counts).astype(U64))
                     sums = np.concatenate([[U64(0)], np.cumsum(mixed(hashes ^ place))])
                     node = mixed(sums[at + counts] - sums[at] + counts.astype(U64))
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(single.view(np.int64).ravel()), WORD_PRINTS).cast(pa.list_(pa.int64()))
-                prefix, size = _prefixes(*each, similarity, common)
+                    prefix, size, known = _prefixes(*each, similarity, common)
+                    rare = (32767 * (1 - known / np.maximum(each[1], 1))).astype(U64)
+                    rank = (rare << U64(48)) | (mixed(node + U64(1)) >> U64(16))
                 firsts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))
-                own = [lists, _binaries(long), pa.array(each[1].astype(np.int64)), firsts, _binaries(_parities(*each))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(node.view(np.int64)), *own], names=["did", "th", "node", "w", "s", "m", "x", "p"])
+                own = [pa.array(rank.view(np.int64)), *map(pa.array, prints), pa.array(each[1].astype(np.int64)), firsts, _parities(*each)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(node.view(np.int64)), *own], names=["did", "th", "node", "rank", *_W, "m", "x", "p"])
 
     return run
 
 
-def _nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray, most: int) -> np.ndarray:
-    """Which pairs are among the ``most`` nearest of either side."""
-    side, other, far = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
-    order = np.lexsort((other, far, side))
-    first = np.searchsorted(side[order], side[order])
-    near = np.zeros(len(side), bool)
-    near[order] = np.arange(len(side)) - first < most
-    return near[: len(i)] | near[len(i) :]
-
-
-def _near_pairs(batches: Iterator[pa.RecordBatch], most: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs in a bucket, of texts not yet linked, whose shingle fingerprints are near enough.
-
-    Sure ones are returned as a spanning forest, open ones as they are: each text's ``most``
-    nearest. A text that has other open pairs is returned without a partner; the
-    pairs left out are pairs of two such texts.
-    """
-    bits = 64 * SHINGLE_PRINTS
-    none = np.zeros(0, np.int64)
-
-    def rows(a, b, sure):
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int64()), pa.array(np.full(len(a), sure))], names=["a", "b", "sure"])
-
-    for tab, key, node, sketch, count, part in buckets(batches):
-        fp = np.frombuffer(b"".join(sketch), U64).reshape(-1, SHINGLE_PRINTS)
-        sure, taken, held, size = (none, none), [], [], 0
-        left_out = np.zeros(len(node), bool)
+_W = [f"w{k}" for k in range(WORD_PRINTS)]
+_SKETCH = "did long, th long, node long, rank long, " + "".join(f"{w} long, " for w in _W) + "m long, x array<long>, p binary"
 
-        def sort_out(held, left_out=left_out, most=most):
-            """The nearest of the open pairs."""
-            i, j, d = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (none, none, none)
-            good = _nearest(i, j, d, most) if len(i) else np.zeros(0, bool)
-            left_out[i[~good]] = left_out[j[~good]] = True
-            return [(i[good], j[good], d[good])]
 
-        for i, j in within(tab, key):
-            at = (part[i] != part[j]) & (np.minimum(count[i], count[j]) >= similarity * np.maximum(count[i], count[j]) - 1e-9)
-            i, j = i[at], j[at]
-            d = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1).astype(np.int64)
-            at = d <= SURE * bits
-            taken.append((node[i[at]], node[j[at]]))
-            open_ = ~at & (d <= OPEN * bits)
-            held.append((i[open_], j[open_], d[open_]))
-            size += int((at | open_).sum())
-            if size > HELD + most * len(node):
-                sure = forest(*(np.concatenate(x) for x in zip(sure, *taken, strict=True)))
-                taken, held = [], sort_out(held)
-                size = len(sure[0]) + len(held[0][0])
-        sure = forest(*(np.concatenate(x) for x in zip(sure, *taken, strict=True)))
-        yield rows(*sure, True)
-        i, j, _ = sort_out(held)[0]
-        root = node.copy()
-        order = np.argsort(sure[0])
-        if len(order):
-            at = np.minimum(np.searchsorted(sure[0][order], node), len(order) - 1)
-            root = np.where(sure[0][order][at] == node, sure[1][order][at], node)
-        apart = root[i] != root[j]
-        p, q = node[i[apart]], node[j[apart]]
-        if len(p):
-            yield rows(*np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1), False)
-        more = np.unique(node[left_out])
-        yield rows(more, [None] * len(more), False)
+def _near_pivot(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): texts that share a block of their words' prints with a pivot and are near enough to compare."""
+    masks = block_masks(NEAR_BLOCKS - NEAR_PICK, NEAR_BLOCKS)
+    tables = [F.struct(F.lit(k * len(masks) + t).alias("tab"), F.col(w).bitwiseAND(F.lit(m).cast("long")).alias("key")) for k, w in enumerate(_W) for t, m in enumerate(masks)]
+    keyed = nodes.where("m > 0").select(F.explode(F.array(*tables)).alias("t"), "rank").select("t.tab", "t.key", "rank")
+    pivots = keyed.groupBy("tab", "key").agg(F.min("rank").alias("pivot"), F.max("rank").alias("last")).where("pivot <> last").drop("last")
+    pairs = keyed.join(pivots, ["tab", "key"]).where("rank <> pivot").select("rank", "pivot").distinct()
+    left, right = (nodes.select(F.col("rank").alias(r), F.col("node").alias(c), F.col("m").alias(f"{c}_m"), *[F.col(w).alias(f"{c}_{w}") for w in _W]) for r, c in (("rank", "a"), ("pivot", "b")))
+    both = pairs.join(left, "rank").join(right, "pivot")
+    differ = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _W), F.lit(0))
+    sizes = F.least("a_m", "b_m") >= similarity * F.greatest("a_m", "b_m") - 1e-9
+    return both.where((differ <= NEAR_BITS) & sizes).select("a", "b")
 
 
 def _across(group: np.ndarray, part: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -341,89 +349,129 @@ def _across(group: np.ndarray, part: np.ndarray) -> Iterator[tuple[np.ndarray, n
         a = b
 
 
-def _meeting_pairs(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs that share a shingle of their prefixes and aren't linked, but those that can't reach ``similarity``."""
-    for _, key, node, parity, count, part in buckets(batches):
-        bits = np.frombuffer(b"".join(parity), U64).reshape(-1, PARITIES // 64)
-        for i, j in _across(key, part):
-            at = np.minimum(count[i], count[j]) >= similarity * np.maximum(count[i], count[j]) - 1e-9
-            i, j = i[at], j[at]
-            most = (1 - similarity) / (1 + similarity) * (count[i] + count[j]) + 1e-9  # shingles that only one of them has
-            at = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= most
-            p, q = node[i[at]], node[j[at]]
-            if len(p):
-                pairs = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+def _meeting(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """A spanning forest, in each task, of the pairs of different parts that may reach ``similarity``."""
+    for task, key, node, part, pos, m, chunk, whole, parity in buckets(batches, RUN // 8):
+        parities = Parities(parity)
+        left, right, found = [], [], 0
+        group = np.cumsum(np.concatenate([[0], (task[1:] != task[:-1]) | (key[1:] != key[:-1])]))
+        for i, j in _across(group, part):
+            sums = similarity / (1 + similarity) * (m[i] + m[j]) - 1e-9  # shingles that a pair must share
+            at = whole[i] | (chunk[i] != chunk[j])
+            at &= np.minimum(m[i], m[j]) >= similarity * np.maximum(m[i], m[j]) - 1e-9
+            at &= np.minimum(m[i] - pos[i], m[j] - pos[j]) >= sums  # what is left behind the first shingle in common
+            i, j, sums = i[at], j[at], sums[at]
+            at = parities.differ(i, j) <= m[i] + m[j] - 2 * sums
+            left.append(node[i[at]])
+            right.append(node[j[at]])
+            found += int(at.sum())
+            if found > 1_000_000:
+                a, b = forest(np.concatenate(left), np.concatenate(right))
+                left, right, found = [a], [b], 0
+        if found:
+            a, b = forest(np.concatenate(left), np.concatenate(right))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _shingle_sets(words: int):
+def _shingle_sets(words: int, packed: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in text_slices(batch):
                 hashes, counts = _distinct(*shingle_hashes(data, offsets, words))
                 at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists], names=["node", "set"])
+                sets = _binaries(hashes, 8 * counts) if packed else pa.ListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), sets], names=["node", "set"])
 
     return run
 
 
-def _apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    left, right = (of.select(F.col("id").alias(c), F.col("component_id").alias(f"{c}_of")) for c in "ab")
-    pairs = pairs.join(left, "a", "left").join(right, "b", "left")
-    return cut(pairs.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select("a", "b"))
+def alike_in_group(part: np.ndarray, chunk: np.ndarray, whole: bool, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join the parts of one group as all pairs at ``similarity`` or more do."""
+    m = np.array([len(x) for x in sets], np.int64)
+    offsets = np.concatenate([[0], np.cumsum(m)])
+    shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    here = np.zeros(len(shingle) + 1, bool)
+    root = np.unique(part, return_inverse=True)[1]
+    links = []
+    for i in range(len(m) - 1):
+        able = (root[i + 1 :] != root[i]) & (np.minimum(m[i], m[i + 1 :]) >= similarity * np.maximum(m[i], m[i + 1 :]) - 1e-9)
+        if not whole:
+            able &= chunk[i + 1 :] != chunk[i]
+        j = np.flatnonzero(able) + i + 1
+        if not len(j):
+            continue
+        own = shingle[offsets[i] : offsets[i + 1]]
+        here[own] = True
+        first = np.cumsum(m[j]) - m[j]
+        at = np.repeat(offsets[j] - first, m[j]) + np.arange(int(m[j].sum()))
+        shared = np.add.reduceat(here[shingle[at]], first, dtype=np.int64)
+        here[own] = False
+        hit = j[shared >= similarity * (m[i] + m[j] - shared) - 1e-9]
+        if len(hit):
+            roots, at = np.unique(root[hit], return_index=True)
+            links += [(i, k) for k in hit[at].tolist()]
+            root[np.isin(root, roots)] = root[i]
+    return links
+
+
+def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links of each task's groups after exact comparison."""
+    for task, key, node, part, chunk, whole, sets in buckets(batches, RUN // 64):
+        edge = np.flatnonzero((task[1:] != task[:-1]) | (key[1:] != key[:-1])) + 1
+        out = []
+        for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(task)], strict=True):
+            own = [np.frombuffer(x, U64) for x in sets[a:b]]
+            out += [(a + i, a + j) for i, j in alike_in_group(part[a:b], chunk[a:b], bool(whole[a]), own, similarity)]
+        if out:
+            i, j = np.array(out).T
+            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], names=["a", "b"])
+
+
+def _sets(wanted: DataFrame, texts: DataFrame, nodes: DataFrame, words: int, packed: bool) -> DataFrame:
+    """(node, set): the shingles of the wanted nodes."""
+    wanted = wanted.join(nodes, "node").select("node", "rep.did", "rep.th")
+    kind = "binary" if packed else "array<long>"
+    return texts.join(wanted, ["did", "th"]).select("node", "text").mapInArrow(_shingle_sets(words, packed), f"node long, set {kind}").dropDuplicates(["node"])
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs whose sets of shingles reach ``similarity``."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = wanted.join(nodes, "node").select("node", "rep.did", "rep.th")
-    sets = texts.join(wanted, ["did", "th"]).select("node", "text").mapInArrow(_shingle_sets(words), "node long, set array<long>").dropDuplicates(["node"])
+    sets = _sets(wanted, texts, nodes, words, packed=False)
     left, right = (sets.select(F.col("node").alias(c), F.col("set").alias(f"{c}_set")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("a_set", "b_set"))
-    return both.where(shared >= F.lit(similarity) * (F.size("a_set") + F.size("b_set") - shared)).select("a", "b")
+    return both.where(shared >= F.lit(similarity) * (F.size("a_set") + F.size("b_set") - shared) - 1e-9).select("a", "b")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document, that of the least id, of each group of near-duplicates.
 
     Texts are linked when the Jaccard similarity of their sets of word shingles reaches
-    ``similarity``; groups are the links' components, equal texts being one node from the start.
+    ``similarity``, all pairs of them; groups are the links' components, equal texts being one node from the start.
     """
-    spark = docs.sparkSession
-    arrow_limits(spark)
+    arrow_limits(docs.sparkSession)
     ident = [F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(F.col(f"`{text}`")).alias("th")]
     texts = docs.select(*ident, F.col(f"`{text}`").alias("text"))
-    common = _common(texts, words)
-    rows = cut(texts.mapInArrow(_sketches(words, similarity, common), "did long, th long, node long, w array<long>, s binary, m long, x array<long>, p binary"))
-    nodes = cut(rows.groupBy("node", "w", "s", "m").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("x").alias("x"), F.first("p").alias("p")))
-    masks = block_masks(NEAR_BLOCKS - NEAR_PICK, NEAR_BLOCKS)
-    tables = [F.struct(F.lit(k * len(masks) + t).alias("tab"), F.element_at("w", k + 1).bitwiseAND(F.lit(m).cast("long")).alias("key")) for k in range(WORD_PRINTS) for t, m in enumerate(masks)]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    left_over, links = nodes.withColumn("part", F.col("node")), None
-    for most in ROUNDS[:-1]:
-        keyed = left_over.select(F.explode(F.array(*tables)).alias("t"), "node", "s", "m", "part").select("t.tab", "t.key", "node", "s", "m", "part")
-        sorted_ = keyed.repartition(parts, "tab", "key").sortWithinPartitions("tab", "key")
-        found = cut(sorted_.mapInArrow(lambda batches, most=most: _near_pairs(batches, most, similarity), "a long, b long, sure boolean"))
-        sure = found.where("sure").select("a", "b")
-        links = sure if links is None else links.unionByName(sure)
-        pairs = found.where("NOT sure AND b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = links.unionByName(cut(_alike(_apart(pairs, components(links)), texts, nodes, words, similarity)))
-        of = components(links)
-        again = found.where("b IS NULL").select(F.col("a").alias("node")).distinct()
-        if again.isEmpty():
-            break
-        parted = nodes.join(again, "node").join(of, F.col("node") == of["id"], "left")
-        left_over = cut(parted.select("node", "w", "s", "m", F.coalesce("component_id", "node").alias("part")))
-    prefixes = nodes.select(F.explode("x").alias("key"), "node").withColumn("n", F.count("*").over(Window.partitionBy("key")))
-    shared = cut(prefixes.where("n > 1").select("key", "node"))
-    parted = nodes.join(of, nodes["node"] == of["id"], "left").select("node", "p", "m", F.coalesce("component_id", "node").alias("part"))
-    keyed = shared.join(parted, "node").select(F.lit(0).alias("tab"), "key", "node", "p", "m", "part")
-    sorted_ = keyed.repartition(parts, "key").sortWithinPartitions("key", "part")
-    pairs = cut(sorted_.mapInArrow(lambda batches: _meeting_pairs(batches, similarity), "a long, b long").distinct())
-    of = components(links.unionByName(cut(_alike(pairs, texts, nodes, words, similarity))))
+    rows = cut(texts.mapInArrow(_sketches(words, similarity, _common(texts, words)), _SKETCH))
+    nodes = cut(rows.groupBy("node", "rank", *_W, "m").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("x").alias("x"), F.first("p").alias("p")))
+
+    links = cut(_alike(cut(_near_pivot(nodes, similarity)), texts, nodes, words, similarity))
+    of = components(links)
+    parted = nodes.join(of, nodes["node"] == of["id"], "left").withColumn("part", F.coalesce("component_id", "node"))
+    parted = cut(parted.select("node", "m", "x", "p", "part"))
+    prefixes = parted.select("node", "part", "m", F.posexplode("x").alias("pos", "key"), F.lit(1).alias("weight"))
+    meeting = cut(dealt(prefixes, ["key"])).join(parted.select("node", "p"), "node")
+    meeting = sorted_tasks(meeting.select("task", "key", "node", "part", "pos", "m", "chunk", "whole", "p"), "key", "part")
+    found = cut(meeting.mapInArrow(lambda batches: _meeting(batches, similarity), "a long, b long"))
+
+    group = components(found)
+    group = group.select(F.col("id").alias("node"), F.col("component_id").alias("key")).unionByName(group.select(F.col("component_id").alias("node"), F.col("component_id").alias("key")).distinct())
+    members = group.join(parted, "node").select("key", "node", "part", F.ceil(F.col("m") / WEIGHT).alias("weight"))
+    tasks = cut(dealt(members, ["key"]))
+    sets = _sets(tasks.select("node").distinct(), texts, nodes, words, packed=True)
+    tasks = sorted_tasks(tasks.join(sets, "node").select("task", "key", "node", "part", "chunk", "whole", "set"), "key")
+    of = components(links.unionByName(cut(tasks.mapInArrow(lambda batches: _verified(batches, similarity), "a long, b long"))))
     kept = nodes.join(of, nodes["node"] == of["id"], "left").groupBy(F.coalesce("component_id", "node").alias("c")).agg(F.min("rep").alias("rep")).select("rep.did", "rep.th")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *ident).join(kept, ["did", "th"])
     one = Window.partitionBy("did", "th").orderBy(F.lit(0))

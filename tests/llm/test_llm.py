@@ -253,35 +253,6 @@ def test_near_duplicates_equal_brute_force(spark, small, odd_docs, no_docs):
     assert simhash.drop_near_duplicates(no_docs).count() == 0
 
 
-def test_near_duplicates_in_rounds(spark, monkeypatch):
-    """All pairs at 0.8 or more that share a bucket link, though texts name only their nearest first."""
-    rng = np.random.default_rng(7)
-    texts = []
-    for _ in range(3):
-        base = [f"w{k}" for k in rng.integers(0, 5000, 120)]
-        for _ in range(40):
-            copy = list(base)
-            for at in rng.choice(120, int(rng.integers(1, 4)), replace=False):
-                copy[at] = f"x{rng.integers(0, 10**6)}"
-            texts.append(" ".join(copy))
-    shingles = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
-    ids = pa.array(range(len(texts)))
-    (sketch,) = simhash._sketches(5)([pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["did", "th", "text"])])
-    prints = np.array(sketch.column("w").to_pylist())
-    masks = np.array(simhash.block_masks(simhash.NEAR_BLOCKS - simhash.NEAR_PICK, simhash.NEAR_BLOCKS))
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            shared = len(shingles[i] & shingles[j])
-            meet = ((prints[i] ^ prints[j])[:, None] & masks == 0).any()
-            if meet and shared >= 0.8 * (len(shingles[i]) + len(shingles[j]) - shared):
-                a, b = root[i], root[j]
-                root = [min(a, b) if r in (a, b) else r for r in root]
-    monkeypatch.setattr(simhash, "ROUNDS", (1, 2, None))
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()) == sorted(set(root))
-
-
 def copies(kind: str, n: int, rng) -> tuple[list[str], list[str]]:
     """A text of n words and one with words added behind or cut off, at a similarity of 0.8 or a little more."""
     base = [f"w{k}" for k in rng.integers(0, 10**6, n)]
@@ -305,8 +276,9 @@ def test_near_duplicates_with_a_passage_more_or_less(spark, kind):
     assert len(want) == 60 and kept_of(spark, texts) == want
 
 
-def test_near_duplicates_in_rounds_equal_all_pairs(spark, monkeypatch):
-    """Groups of near copies around 0.8, linked in rounds: the result is that of all pairs, share a bucket or not."""
+@pytest.mark.parametrize("chunk", [simhash.CHUNK, 7])
+def test_groups_of_near_copies_equal_all_pairs(spark, monkeypatch, chunk):
+    """Groups of near copies around 0.8, in one task or dealt out in chunks: the result is that of all pairs."""
     rng = np.random.default_rng(7)
     texts = []
     for _ in range(3):
@@ -318,7 +290,7 @@ def test_near_duplicates_in_rounds_equal_all_pairs(spark, monkeypatch):
             texts.append(" ".join(copy))
     shingles = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
     want = classes_of(range(len(texts)), lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]))
-    monkeypatch.setattr(simhash, "ROUNDS", (1, 2, None))
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
     assert kept_of(spark, texts) == sorted(set(want.values()))
 
 
@@ -341,6 +313,17 @@ def test_meeting_pairs_are_all_pairs_across_parts():
     assert sorted(got) == [(a, b) for a in range(80) for b in range(a + 1, 80) if group[a] == group[b] and part[a] != part[b]]
 
 
+def test_parities_differ_in_no_more_than_the_sets():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (3, 200, 260, 300, 900)]
+    sets += [np.unique(np.concatenate([s[: int(0.9 * len(s))], rng.integers(0, 1 << 63, k).astype(np.uint64)])) for k, s in enumerate(sets)]
+    parities = simhash.Parities(np.array(simhash._parities(np.concatenate(sets), np.array([len(s) for s in sets])).to_pylist(), dtype=object))
+    i, j = (np.array(x) for x in zip(*itertools.combinations(range(len(sets)), 2), strict=True))
+    apart = [len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)]
+    differ = parities.differ(i, j)
+    assert (differ <= apart).all() and (differ[(i + 5) == j] > 0)[1:].all()
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + k, 301 + k) for k in range(30)]
