@@ -38,6 +38,11 @@ def transaction(block_num: int, block_prefix: int, expires: int, posts: list[lis
     return head + varuint(len(posts)) + b"".join(map(post, posts)) + varuint(0)
 
 
+@F.pandas_udf(T.BinaryType())
+def post_encode(fields: pd.Series) -> pd.Series:
+    return fields.map(lambda x: post(["" if f is None else f for f in x]), na_action="ignore")
+
+
 @F.pandas_udf(T.BinaryType())
 def base58_decode(text: pd.Series) -> pd.Series:
     return text.map(from_base58, na_action="ignore")

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from corpusmill.plans.prefix import running_total
 
 
+#: Buckets whose sums are added up in one task.
+REGION = 10_000
+
+
 def words(text: Column) -> Column:
     """Runs of characters that are no Unicode white space."""
     return F.regexp_extract_all(text, F.lit(r"(?U)\S+"), 0)
@@ -49,7 +53,7 @@ def token_blocks(docs: DataFrame, tokens: Column, key: str = "doc_id", block: in
     slices, ``block`` tokens at most.
     """
     rows = docs.select(key, F.concat(tokens, F.array(F.lit(end))).alias("t"))
-    rows = running_total(rows, F.floor(F.col(key) / bucket), [F.col(key)], F.size("t"), "at")
+    rows = running_total(rows, F.floor(F.col(key) / bucket / REGION), F.floor(F.col(key) / bucket), [F.col(key)], F.size("t"), "at")
     reach = F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.size("t") - 1) / block))
     rows = rows.withColumn("block_no", F.explode(reach))
     first = F.greatest(F.col("block_no") * block - F.col("at"), F.lit(0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,19 +35,20 @@ def pending(rows: DataFrame, order: str, done: DataFrame) -> DataFrame:
     return first.join(done.distinct(), "url", "left_anti").select("url", "d.*")
 
 
-def crawl(start: DataFrame, edges: DataFrame, max_depth: int, home: Callable[[Column], Column] | None = None, visit: Callable[[Column], Column] | None = None, max_pages: int = 0, rounds: int = 64) -> DataFrame:
+def crawl(start: DataFrame, edges: DataFrame, max_depth: int, home: Callable[[Column], Column] | None = None, visit: Callable[[Column], Column] | None = None, max_pages: int = 0) -> DataFrame:
     """Breadth-first traversal of ``edges`` (src, dst): (url, depth_actual, depth_effective).
 
     A page on a home domain has effective depth 0, any other one more than the page that led to it;
     pages of effective depth below ``max_depth`` are expanded. Each level is one join, its
     new urls are made distinct and kept against the visited ones by an anti join, and the
-    levels are written, so the driver holds no urls. ``max_pages`` stops after that many.
+    levels are written, so the driver holds no urls. It ends when a level has no new urls, or
+    after ``max_pages``.
     """
     at_home = home or (lambda u: F.lit(False))
     allowed = visit or (lambda u: F.lit(True))
     level = cut(start.select("url", F.lit(0).alias("depth_actual"), F.lit(0).alias("depth_effective")).dropDuplicates(["url"]))
     seen, total = level, level.count()
-    for depth in range(1, rounds + 1):
+    for depth in count(1):
         if max_pages and total >= max_pages:
             break
         grown = level.where(F.col("depth_effective") < max_depth).join(edges, F.col("url") == F.col("src"))

@@ -83,9 +83,19 @@ def _(spark, d):
     return table(spark, d, "pages").select("page_id", F.hex(binary.base58_decode(F.concat(F.lit("11"), F.translate("page_id", "0", "z")))).alias("decoded"))
 
 
-@query("e3_prefixed_strings", "SELECT doc_id, CASE WHEN n < 128 THEN printf('%02X', n) ELSE printf('%02X', n % 128 + 128) || printf('%02X', n // 128) END || hex(encode(t)) AS packed FROM (SELECT doc_id, substr(text, 1, 150) AS t, strlen(substr(text, 1, 150)) AS n FROM documents)")
+#: A number in groups of seven bits, low ones first, the top bit set on all but the last.
+VARUINT = lambda n: "CASE " + " ".join(f"WHEN {n} < {1 << 7 * (k + 1)} THEN " + " || ".join(f"printf('%02X', ({n} >> {7 * j}) % 128{' + 128' * (j < k)})" for j in range(k + 1)) for k in range(4)) + " END"
+PREFIXED = lambda x: f"({VARUINT(f'strlen({x})')}) || hex(encode({x}))"
+
+
+@query("e3_prefixed_strings", f"SELECT doc_id, {PREFIXED('text')} AS packed FROM documents")
+def _(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.hex(binary.string_encode("text")).alias("packed"))
+
+
+@query("e4_post_operations", f"SELECT doc_id, '01' || {PREFIXED('source')} || {PREFIXED('lang')} || {PREFIXED('text')} AS packed FROM documents")
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.hex(binary.string_encode(F.substring("text", 1, 150))).alias("packed"))
+    return table(spark, d, "documents").select("doc_id", F.hex(binary.post_encode(F.array("source", "lang", "text"))).alias("packed"))
 
 
 @query("h1_parsed_text")

@@ -9,7 +9,8 @@ from corpusmill.operators import chunk, search, state, tfidf, training
 from corpusmill.operators import vectors as V
 from corpusmill.operators.catalogue import query
 from corpusmill.operators.queries_text import STRIP
-from corpusmill.plans.lineage import table
+from corpusmill.plans.lineage import cut, scratch, spread, table
+from corpusmill.sources import io
 
 C = F.col
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in tfidf.STOP) + "]"
@@ -28,7 +29,7 @@ lex AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 
 
 def docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def queries_of(spark, d):
@@ -39,8 +40,13 @@ def index(spark, d):
     return tfidf.weights(docs(spark, d).select("doc_id", *FIELDS), fields=FIELDS)
 
 
+def stored_index(spark, d):
+    """The index as a search finds it: written once."""
+    return cut(index(spark, d))
+
+
 def n_docs(spark, d):
-    return docs(spark, d).agg(F.count("*").alias("n"))
+    return table(spark, d, "documents").agg(F.count("*").alias("n"))
 
 
 @query("t1_index_tokens", f"SELECT doc_id, array_to_string({TOKENS('text')}, ' ') AS tokens FROM documents")
@@ -135,7 +141,7 @@ def _(spark, d):
 
 @query("v15_lexical_search", f"WITH {W_SQL}, {Q_SQL} SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM lex WHERE rank <= 50")
 def _(spark, d):
-    return search.lexical(queries_of(spark, d), index(spark, d), n_docs(spark, d), 50)
+    return search.lexical(queries_of(spark, d), stored_index(spark, d), n_docs(spark, d), 50)
 
 
 DOT = "list_inner_product"
@@ -144,7 +150,7 @@ E_SQL = "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embed
 
 @query("v16_rerank", f"WITH {W_SQL}, {Q_SQL}, {E_SQL}, s AS (SELECT lex.query_id, doc_id, round({DOT}(e.v, f.v), 9) AS score FROM lex JOIN e ON e.vec_id = doc_id JOIN e f ON f.vec_id = lex.query_id WHERE rank <= 50) SELECT query_id, doc_id, round(score, 5) AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10")
 def _(spark, d):
-    pool = search.lexical(queries_of(spark, d), index(spark, d), n_docs(spark, d), 50)
+    pool = search.lexical(queries_of(spark, d), stored_index(spark, d), n_docs(spark, d), 50)
     e = table(spark, d, "embeddings").select("vec_id", V.doubles(C("embedding")).alias("v"))
     found = search.rerank(pool, e.withColumnRenamed("vec_id", "doc_id"), e.select(C("vec_id").alias("query_id"), C("v").alias("q")), V.dot)
     return found.select("query_id", "doc_id", F.round("score", 5).alias("score"))
@@ -152,7 +158,7 @@ def _(spark, d):
 
 @query("v17_hydrate", f"WITH {W_SQL}, {Q_SQL} SELECT query_id, doc_id, l.quality FROM lex LEFT JOIN labels l USING (doc_id) WHERE rank <= 5")
 def _(spark, d):
-    hits = search.lexical(queries_of(spark, d), index(spark, d), n_docs(spark, d), 5)
+    hits = search.lexical(queries_of(spark, d), stored_index(spark, d), n_docs(spark, d), 5)
     return hits.join(table(spark, d, "labels"), "doc_id", "left").select("query_id", "doc_id", "quality")
 
 
@@ -163,7 +169,7 @@ def _(spark, d):
 
 @query("v20_cards", f"WITH {W_SQL}, {Q_SQL} SELECT query_id, coalesce(nullif(CASE WHEN doc_id % 2 = 0 THEN '' ELSE source END, ''), '(untitled)') AS title, lang AS section, round(score, 3) AS score FROM lex JOIN documents USING (doc_id) WHERE rank <= 10")
 def _(spark, d):
-    hits = search.lexical(queries_of(spark, d), index(spark, d), n_docs(spark, d), 10).join(docs(spark, d).drop("text"), "doc_id")
+    hits = search.lexical(queries_of(spark, d), stored_index(spark, d), n_docs(spark, d), 10).join(docs(spark, d).drop("text"), "doc_id")
     return hits.select("query_id", *search.card(F.when(C("doc_id") % 2 == 0, "").otherwise(C("source")), C("lang"), C("score")))
 
 
@@ -226,7 +232,7 @@ def _(spark, d):
 
 @query("v14_query_vector", f"WITH {W_SQL}, {Q_SQL} SELECT query_id, term, round(qw, 6) AS qw FROM qw")
 def _(spark, d):
-    i = index(spark, d)
+    i = stored_index(spark, d)
     return search.query_weights(queries_of(spark, d), i.select("term", "df").distinct(), n_docs(spark, d)).select("query_id", "term", F.round("qw", 6).alias("qw"))
 
 
@@ -308,6 +314,22 @@ def _(spark, d):
     return state.validated(cached(spark, d), listing)
 
 
+TEXT_LISTING = "SELECT 't' || user_id AS path, CAST(2 * max(event_id) AS BIGINT) AS size FROM events WHERE user_id % 7 > 0 GROUP BY user_id"
+
+
+@query(
+    "l5_file_info",
+    f"WITH b AS ({BATCH}), s AS (SELECT any_value(url_file_path) AS p, max(url_file_size) AS z FROM b GROUP BY cleaned_url), l AS ({LISTING}), t AS ({TEXT_LISTING}) "
+    "SELECT p AS url_file_path, z AS url_file_size, t.path AS text_file_path, CAST(2 * z AS BIGINT) AS text_file_size FROM s JOIN l ON p = l.path AND l.size = z JOIN t ON t.path = 't' || substr(p, 2) AND t.size = 2 * z",
+)
+def _(spark, d):
+    newest = table(spark, d, "events").groupBy("user_id").agg(F.max("event_id").alias("m"))
+    page = newest.where("user_id % 3 > 0").select(F.concat(F.lit("f"), "user_id").alias("path"), (C("m") + F.when(C("user_id") % 5 == 0, 1).otherwise(0)).alias("size"))
+    plain = newest.where("user_id % 7 > 0").select(F.concat(F.lit("t"), "user_id").alias("path"), (C("m") * 2).alias("size"))
+    known = cached(spark, d).withColumn("text_file_path", F.concat(F.lit("t"), F.substring("cleaned_url", 2, 99))).withColumn("text_file_size", C("url_file_size") * 2)
+    return state.file_info(known, page.unionByName(plain))
+
+
 @query("l6_remove", f"WITH b AS ({BATCH}) SELECT DISTINCT cleaned_url FROM b WHERE cleaned_url NOT IN (SELECT 'u' || user_id FROM events WHERE user_id % 4 = 1)")
 def _(spark, d):
     gone = table(spark, d, "events").where("user_id % 4 = 1").select(F.concat(F.lit("u"), "user_id").alias("cleaned_url"))
@@ -440,10 +462,70 @@ def _(spark, d):
     return table(spark, d, "pages").agg(F.count_if(F.endswith(u, F.lit(".txt"))).alias("text_files"), F.count_if(u.contains("CRAWLING")).alias("crawled"))
 
 
+@query("s10_text_with_fallback", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text ELSE regexp_replace(text, '[^\\x00-\\x7F]', 'é', 'g') END AS text FROM documents")
+def _(spark, d):
+    """Every second text in a one-byte encoding that is no valid UTF-8 where it isn't ASCII."""
+    other = F.encode(F.regexp_replace("text", r"[^\x00-\x7F]", "é"), "ISO-8859-1")
+    return docs(spark, d).select("doc_id", io.decode(F.when(C("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(other)).alias("text"))
+
+
+@query("s11_file_scan", "SELECT DISTINCT lang AS folder, true AS read FROM documents")
+def _(spark, d):
+    path = scratch(spark)
+    table(spark, d, "documents").select("lang", "text").write.partitionBy("lang").csv(path)
+    found = io.files(spark, path, "*.csv").select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("folder"), F.length("content").alias("n"))
+    return found.groupBy("folder").agg((F.sum("n") > 0).alias("read"))
+
+
+@query("s12_pipe_csv", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, source FROM documents")
+def _(spark, d):
+    path = scratch(spark)
+    io.write_pipe_csv(table(spark, d, "documents").select("doc_id", "lang", "source"), path)
+    return io.read_pipe_csv(spark, path, ["doc_id", "source"])
+
+
+@query("s13_json_records", "SELECT doc_id, lang, text FROM documents")
+def _(spark, d):
+    path = scratch(spark)
+    io.write_json(table(spark, d, "documents").select("doc_id", "lang", "text"), path)
+    return io.read_json(spark, path, "doc_id long, lang string, text string")
+
+
+@query("s14_records_by_type", "SELECT doc_id, text, k FROM documents, (VALUES ('lines'), ('array')) v(k)")
+def _(spark, d):
+    """The same records one to a line and, with another content type, as arrays of whole files."""
+    lines, arrays = scratch(spark), scratch(spark)
+    rows = table(spark, d, "documents").select("doc_id", "text")
+    io.write_json(rows, lines)
+    some = rows.groupBy(F.floor(C("doc_id") / 500).alias("b")).agg(F.to_json(F.collect_list(F.struct("doc_id", "text"))).alias("value"))
+    some.repartition(F.col("b")).write.option("maxRecordsPerFile", "1").partitionBy("b").text(arrays)
+    kinds = (("lines", "application/x-ndjson", lines), ("array", "application/json", f"{arrays}/*"))
+    a, b = (io.read_records(spark, path, kind, "doc_id long, text string").withColumn("k", F.lit(k)) for k, kind, path in kinds)
+    return a.select("doc_id", "text", "k").unionByName(b.select("doc_id", "text", "k"))
+
+
+@query("s17_json_sink", "SELECT doc_id, text, false AS escaped FROM documents")
+def _(spark, d):
+    """Lines as written: letters beyond ASCII aren't escaped."""
+    path = scratch(spark)
+    io.write_json(table(spark, d, "documents").select("doc_id", "text"), path)
+    line = spark.read.text(path)
+    return line.select(F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id"), F.get_json_object("value", "$.text").alias("text"), C("value").rlike(r"\\u00[8-9a-fA-F]").alias("escaped"))
+
+
+@query("s19_index_sink", f"WITH {W_SQL} SELECT term, count(*) AS n, min(doc_id) AS first, round(sum(weight), 4) AS weight FROM w GROUP BY term")
+def _(spark, d):
+    path = scratch(spark)
+    io.write_index(tfidf.packed(index(spark, d)), path)
+    read = spark.read.schema("term string, doc_ids array<long>, weights array<double>").json(path)
+    total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
+    return read.select("term", F.size("doc_ids").cast("long").alias("n"), F.element_at("doc_ids", 1).alias("first"), F.round(total, 4).alias("weight"))
+
+
 @query("flagship_chunk_search")
 def flagship(spark, d):
     """Documents to chunks to a weighted index; every benchmark item as a query, its ten best chunks."""
     parts = chunk.chunks(docs(spark, d), keep=("source", "lang"))
     parts = parts.withColumn("chunk_id", F.concat_ws(":", "doc_id", "chunk_index"))
     weights = tfidf.weights(parts.select("chunk_id", "chunk_text", C("source").alias("title"), C("lang").alias("section")), key="chunk_id")
-    return search.lexical(queries_of(spark, d), weights, parts.agg(F.count("*").alias("n")), 10, key="chunk_id")
+    return search.lexical(queries_of(spark, d), cut(weights), parts.agg(F.count("*").alias("n")), 10, key="chunk_id")

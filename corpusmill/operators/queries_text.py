@@ -8,7 +8,7 @@ from corpusmill.functions import html as H
 from corpusmill.functions import text as X
 from corpusmill.operators import chunk
 from corpusmill.operators.catalogue import query
-from corpusmill.plans.lineage import table
+from corpusmill.plans.lineage import spread, table
 
 C = F.col
 SPACE = "\\s\\x0b\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -17,7 +17,7 @@ WORDS = f"regexp_extract_all(text, '[^{SPACE}]+')"
 
 
 def docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def pages(spark, d):
@@ -62,7 +62,7 @@ def _(spark, d):
     return pages(spark, d).select("page_id", H.section_of(C("html"), F.floor(F.length("html") / 2).cast("int")).alias("section"))
 
 
-DATED = "substr(text, 1, 40) || CASE doc_id % 4 WHEN 0 THEN ' 2019-03-' || (10 + doc_id % 20) WHEN 1 THEN ' Mar ' || (1 + doc_id % 28) || ', 2021 x' WHEN 2 THEN ' 3/' || (1 + doc_id % 28) || '/21 1/1/2020' ELSE '' END"
+DATED = "text || CASE doc_id % 4 WHEN 0 THEN ' 2019-03-' || (10 + doc_id % 20) WHEN 1 THEN ' Mar ' || (1 + doc_id % 28) || ', 2021 x' WHEN 2 THEN ' 3/' || (1 + doc_id % 28) || '/21 1/1/2020' ELSE '' END"
 
 
 @query("h7_first_date", f"SELECT doc_id, regexp_extract({DATED}, '{X.DATE}', 1) AS found FROM documents")
@@ -84,8 +84,8 @@ def _(spark, d):
 #: Transcripts made of documents: title, targets, overview and sessions, some parts missing.
 RAW = (
     "CASE WHEN doc_id % 5 = 4 THEN '' ELSE '****** Title ' || doc_id || ' ******' || chr(10) || 'Target ' || lang || chr(10) || '-----' || chr(10) || 'Second ' || source || chr(10) || chr(10) END || "
-    "CASE WHEN doc_id % 3 = 0 THEN '%%%%%% PROJECT OVERVIEW %%%%%%' || chr(10) || substr(text, 1, 50) || chr(10) || chr(10) || chr(10) || 'more' || chr(10) || '%%%%%% END PROJECT OVERVIEW %%%%%%' || chr(10) ELSE '' END || "
-    "CASE WHEN doc_id % 4 = 0 THEN '=== BEGIN SESSIONS ===' || chr(10) || '=== Ann SESSION' || chr(10) || substr(text, 1, 30) || chr(10) || '=== Bob SESSION' || chr(10) || substr(text, 31, 30) || chr(10) || '&&&&&& END OF X ******' || chr(10) || 'after' WHEN doc_id % 4 = 1 THEN '=== BEGIN SESSIONS ===' || chr(10) || substr(text, 1, 20) ELSE '' END"
+    "CASE WHEN doc_id % 3 = 0 THEN '%%%%%% PROJECT OVERVIEW %%%%%%' || chr(10) || text || chr(10) || chr(10) || chr(10) || 'more' || chr(10) || '%%%%%% END PROJECT OVERVIEW %%%%%%' || chr(10) ELSE '' END || "
+    "CASE WHEN doc_id % 4 = 0 THEN '=== BEGIN SESSIONS ===' || chr(10) || '=== Ann SESSION' || chr(10) || text || chr(10) || '=== Bob SESSION' || chr(10) || lang || text || chr(10) || '&&&&&& END OF X ******' || chr(10) || 'after' WHEN doc_id % 4 = 1 THEN '=== BEGIN SESSIONS ===' || chr(10) || text ELSE '' END"
 )
 RAW_SQL = f"WITH t AS (SELECT doc_id, {RAW} AS raw FROM documents)"
 TITLE_SQL = STRIP("regexp_extract(raw, '(?im)^\\*{6}\\s*(.*?)\\s*\\*{6}\\s*$', 1)")
@@ -113,8 +113,8 @@ def _(spark, d):
 
 @query(
     "c4_sessions",
-    f"{RAW_SQL} SELECT doc_id, 'Ann' AS viewer, {STRIP('substr(text, 1, 30)')} AS body FROM documents WHERE doc_id % 4 = 0 UNION ALL SELECT doc_id, 'Bob', {STRIP('substr(text, 31, 30)')} FROM documents WHERE doc_id % 4 = 0 "
-    f"UNION ALL SELECT doc_id, '', {STRIP('substr(text, 1, 20)')} FROM documents WHERE doc_id % 4 = 1 UNION ALL SELECT doc_id, '', {STRIP('raw')} FROM t WHERE doc_id % 4 > 1 AND {STRIP('raw')} <> ''",
+    f"{RAW_SQL} SELECT doc_id, 'Ann' AS viewer, {STRIP('text')} AS body FROM documents WHERE doc_id % 4 = 0 UNION ALL SELECT doc_id, 'Bob', {STRIP('lang || text')} FROM documents WHERE doc_id % 4 = 0 "
+    f"UNION ALL SELECT doc_id, '', {STRIP('text')} FROM documents WHERE doc_id % 4 = 1 UNION ALL SELECT doc_id, '', {STRIP('raw')} FROM t WHERE doc_id % 4 > 1 AND {STRIP('raw')} <> ''",
 )
 def _(spark, d):
     return transcripts(spark, d).select("doc_id", F.inline(X.sessions(C("raw"))))
@@ -123,7 +123,7 @@ def _(spark, d):
 @query(
     "c5_compose",
     f"{RAW_SQL}, p AS (SELECT doc_id, CASE WHEN doc_id % 5 = 4 THEN NULL ELSE 'Targets:' || chr(10) || 'Target ' || lang || chr(10) || 'Second ' || source END AS a, nullif({OVER_SQL}, '') AS b, "
-    f"CASE doc_id % 4 WHEN 0 THEN 'Session (Ann):' || chr(10) || {STRIP('substr(text, 1, 30)')} || chr(10) || chr(10) || 'Session (Bob):' || chr(10) || {STRIP('substr(text, 31, 30)')} WHEN 1 THEN 'Session:' || chr(10) || {STRIP('substr(text, 1, 20)')} ELSE CASE WHEN {STRIP('raw')} <> '' THEN 'Session:' || chr(10) || {STRIP('raw')} END END AS c "
+    f"CASE doc_id % 4 WHEN 0 THEN 'Session (Ann):' || chr(10) || {STRIP('text')} || chr(10) || chr(10) || 'Session (Bob):' || chr(10) || {STRIP('lang || text')} WHEN 1 THEN 'Session:' || chr(10) || {STRIP('text')} ELSE CASE WHEN {STRIP('raw')} <> '' THEN 'Session:' || chr(10) || {STRIP('raw')} END END AS c "
     f"FROM t JOIN documents USING (doc_id)) SELECT doc_id, {STRIP('concat_ws(chr(10) || chr(10), a, $$Overview:$$ || chr(10) || b, c)')} AS relevant FROM p",
 )
 def _(spark, d):
@@ -148,10 +148,10 @@ def _(spark, d):
 @query(
     "c8_chunk_table",
     f"{CHUNK_SQL} SELECT c.doc_id, coalesce(nullif(m.title, ''), 'doc ' || c.doc_id) AS title, CAST(i AS INTEGER) AS chunk_index, CAST(en - st AS INTEGER) AS chunk_words "
-    "FROM c LEFT JOIN (SELECT item_id, CASE WHEN item_id % 2 = 0 THEN substr(text, 1, 20) ELSE '' END AS title FROM benchmark) m ON c.doc_id = m.item_id",
+    "FROM c LEFT JOIN (SELECT item_id, CASE WHEN item_id % 2 = 0 THEN text ELSE '' END AS title FROM benchmark) m ON c.doc_id = m.item_id",
 )
 def _(spark, d):
-    meta = table(spark, d, "benchmark").select(C("item_id").alias("doc_id"), F.expr("CASE WHEN item_id % 2 = 0 THEN substr(text, 1, 20) ELSE '' END").alias("title"))
+    meta = table(spark, d, "benchmark").select(C("item_id").alias("doc_id"), F.expr("CASE WHEN item_id % 2 = 0 THEN text ELSE '' END").alias("title"))
     rows = chunk.chunks(docs(spark, d)).join(meta, "doc_id", "left")
     return rows.select("doc_id", F.coalesce(F.nullif("title", F.lit("")), F.concat(F.lit("doc "), C("doc_id").cast("string"))).alias("title"), "chunk_index", "chunk_words")
 
@@ -179,7 +179,7 @@ def _(spark, d):
     return docs(spark, d).select("doc_id", X.drop_boilerplate(F.expr(NOISY)).alias("text"))
 
 
-NOTED = "'Note: a' || substr(text, 1, 30) || ' note: b' || chr(10) || 'Note: c'"
+NOTED = "'Note: a' || text || ' note: b' || chr(10) || 'Note: c'"
 
 
 @query("c12_note_line", f"SELECT doc_id, regexp_replace({NOTED}, '([^\\n])(?i:note:)', '\\1' || chr(10) || 'Note:', 'g') AS text FROM documents")

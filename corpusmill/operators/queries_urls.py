@@ -159,10 +159,10 @@ def _(spark, d):
 
 @query(
     "u22_slug",
-    "SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(substr(text, 1, 60)), '[^a-z0-9-]+', '-', 'g'), '^-+|-+$', '', 'g'), '-{2,}', '-', 'g'), ''), 'post') AS slug FROM documents",
+    "SELECT doc_id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(text), '[^a-z0-9-]+', '-', 'g'), '^-+|-+$', '', 'g'), '-{2,}', '-', 'g'), ''), 'post') AS slug FROM documents",
 )
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", U.slug(F.substring("text", 1, 60)).alias("slug"))
+    return table(spark, d, "documents").select("doc_id", U.slug(C("text")).alias("slug"))
 
 
 @query("u23_html_file", "SELECT page_id, regexp_matches(lower(url), '\\.html?$') AS is_html FROM pages")
@@ -220,7 +220,7 @@ def _(spark, d):
 
 @query("d7_unique_ids", "SELECT conv_id, list_sort(list_distinct(list(strlen(text)))) AS ids FROM conversations GROUP BY conv_id")
 def _(spark, d):
-    return table(spark, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.array_distinct(F.collect_list(F.octet_length("text").cast("long")))).alias("ids"))
+    return table(spark, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_set(F.octet_length("text").cast("long"))).alias("ids"))
 
 
 @query("l7_pending_queue", "SELECT url, depth_actual, depth_effective FROM (SELECT 'u' || user_id AS url, CAST(event_id % 5 AS INTEGER) AS depth_actual, CAST(event_id % 3 AS INTEGER) AS depth_effective, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events) WHERE r = 1 AND url NOT IN (SELECT 'u' || user_id FROM events WHERE event_type = 'signup' AND event_id % 50 = 0)")

@@ -33,5 +33,13 @@ def validated(state: DataFrame, listing: DataFrame) -> DataFrame:
     return found.select("cleaned_url", status.alias("status"))
 
 
+def file_info(state: DataFrame, listing: DataFrame) -> DataFrame:
+    """(url_file_path, url_file_size, text_file_path, text_file_size) of the rows whose two files exist at their recorded sizes."""
+    rows = state.select("url_file_path", "url_file_size", "text_file_path", "text_file_size")
+    for c in ("url", "text"):
+        rows = rows.join(listing.select(F.col("path").alias(f"{c}_file_path"), F.col("size").alias(f"{c}_file_size")).distinct(), [f"{c}_file_path", f"{c}_file_size"], "left_semi")
+    return rows
+
+
 def remove(state: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return state.join(keys.select(key).distinct(), key, "left_anti").select(*state.columns)

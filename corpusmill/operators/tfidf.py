@@ -95,9 +95,9 @@ def vectorise(docs: DataFrame, text: Column, key: str = "doc_id", stop: Sequence
 def vocabulary(terms: DataFrame) -> DataFrame:
     """(term, idx, offset): places in term order, and where each term's postings begin. Ranks come from
     bucketed running totals over the terms' first two letters, not from one sorted task."""
-    bucket = F.substring("term", 1, 2)
-    rows = running_total(terms.select("term", "df"), bucket, [F.col("term")], F.lit(1), "idx")
-    return running_total(rows, bucket, [F.col("term")], F.col("df"), "offset").select("term", "df", "idx", "offset")
+    region, bucket = F.substring("term", 1, 1), F.substring("term", 1, 2)
+    rows = running_total(terms.select("term", "df"), region, bucket, [F.col("term")], F.lit(1), "idx")
+    return running_total(rows, region, bucket, [F.col("term")], F.col("df"), "offset").select("term", "df", "idx", "offset")
 
 
 def packed(index: DataFrame, key: str = "doc_id") -> DataFrame:

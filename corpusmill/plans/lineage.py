@@ -13,6 +13,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A row group's usual size. Below it for each core, a table of few files is dealt out.
+ROW_GROUP = 128 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``'s rows dealt to all cores where its files are fewer than the cores and small.
+
+    A file of one row group is one task, whatever its expressions cost. Larger inputs have row groups enough
+    and aren't moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * ROW_GROUP and len(df.inputFiles()) < cores else df
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one where none is set, as in tests."""
     set_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()

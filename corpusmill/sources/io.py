@@ -54,6 +54,12 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return reader.json(path, multiLine=bool(first and first["c"] == "["))
 
 
+def read_records(spark: SparkSession, path: str, content_type: str | None, schema: str | None = None) -> DataFrame:
+    """Records by the content type they came with: lines of one record each, else each file as one JSON value."""
+    lines = any(kind in (content_type or "").lower() for kind in ("ndjson", "jsonl"))
+    return (spark.read.schema(schema) if schema else spark.read).json(path, multiLine=not lines)
+
+
 def write_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").csv(path, header=True)
 
