@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.operators.chunk import ngrams
+from corpusmill.plans.lineage import cut
 from corpusmill.plans.prefix import running_total
 
 # The stop words of the index.
@@ -42,16 +43,32 @@ def unicode_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), 0)
 
 
-def term_frequencies(docs: DataFrame, key: str, fields: dict[str, float], tokens=index_tokens) -> DataFrame:
-    """(key, term, tf): field weights summed over all places of a term. Terms are counted inside each row's
-    fields first, and one explode serves all fields."""
+def row_counts(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
+    """(key, term, tf) of each row's (term, w) structs: the weights of equal terms summed.
+
+    A document is a row, so its tokens are sorted and added up in its own array; nothing is shuffled. The outer
+    explode keeps the optimizer from computing the array once more for a filter on its size.
+    """
+    rows = docs.select(key, F.sort_array(tokens).alias("s"))
+    n = F.size("s")
+    last = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (F.get("s", i - 1)["term"] != F.get("s", i)["term"]))
+    rows = rows.select(key, "s", F.when(n > 0, last).alias("e"))
+
+    def run(e: Column, k: Column) -> Column:
+        begin = F.when(k == 0, F.lit(0)).otherwise(F.get("e", k - 1))
+        total = F.aggregate(F.slice("s", begin + 1, e - begin), F.lit(0.0), lambda a, t: a + t["w"])
+        return F.struct(F.get("s", e - 1)["term"].alias("term"), total.alias("tf"))
+
+    return rows.select(key, F.explode_outer(F.transform("e", run)).alias("t")).select(key, "t.term", "t.tf").where("term IS NOT NULL")
 
-    def weighed(column: str, weight: float) -> Column:
-        return F.transform(tokens(F.col(column)), lambda t: F.struct(t.alias("term"), F.lit(weight).alias("w")))
 
-    weighted = [weighed(c, float(w)) for c, w in fields.items()]
-    rows = docs.select(key, F.explode(F.concat(*weighted)).alias("t"))
-    return rows.groupBy(key, "t.term").agg(F.sum("t.w").alias("tf"))
+def weighed(tokens: Column, weight: float) -> Column:
+    return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(weight).alias("w")))
+
+
+def term_frequencies(docs: DataFrame, key: str, fields: dict[str, float], tokens=index_tokens) -> DataFrame:
+    """(key, term, tf): field weights summed over all places of a term; each row is a document."""
+    return row_counts(docs, key, F.concat(*[weighed(tokens(F.col(c)), float(w)) for c, w in fields.items()]))
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
@@ -64,15 +81,14 @@ def idf(df: Column, n: Column) -> Column:
 
 
 def normalised(rows: DataFrame, key: str, raw: str = "raw") -> DataFrame:
-    """Weights over each document's length; the norm is an aggregate joined back, so that a
-    document's rows needn't be held together."""
-    norms = rows.groupBy(key).agg(F.sqrt(F.sum(F.col(raw) * F.col(raw))).alias("norm"))
-    return rows.join(norms, key).withColumn("weight", F.col(raw) / F.col("norm")).drop("norm", raw)
+    """Weights over each document's length, a window over the terms of one document."""
+    norm = F.sqrt(F.sum(F.col(raw) * F.col(raw)).over(Window.partitionBy(key)))
+    return rows.withColumn("weight", F.col(raw) / norm).drop(raw)
 
 
 def weights(docs: DataFrame, key: str = "doc_id", fields: dict[str, float] | None = None, tokens=index_tokens) -> DataFrame:
     """(key, term, df, weight): (1 + ln tf) * idf, normalised."""
-    tf = term_frequencies(docs, key, fields or FIELDS, tokens)
+    tf = cut(term_frequencies(docs, key, fields or FIELDS, tokens))  # read for the frequencies and for the weights
     n = docs.agg(F.count("*").alias("n"))
     rows = tf.join(document_frequencies(tf), "term").join(F.broadcast(n))
     rows = rows.withColumn("raw", (1 + F.log("tf")) * idf(F.col("df"), F.col("n"))).where("raw > 0").select(key, "term", "df", "raw")
@@ -84,8 +100,7 @@ def vectorise(docs: DataFrame, text: Column, key: str = "doc_id", stop: Sequence
     pruned by document frequency, times ln((1 + N) / (1 + df)) + 1, normalised."""
     words = F.filter(unicode_words(text), lambda t: ~t.isin(*stop)) if stop else unicode_words(text)
     base = docs.select(key, words.alias("w"))
-    rows = base.select(key, F.explode(F.concat(*[ngrams(F.col("w"), k) for k in range(1, n_max + 1)])).alias("term"))
-    tf = rows.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    tf = cut(row_counts(base, key, weighed(F.concat(*[ngrams(F.col("w"), k) for k in range(1, n_max + 1)]), 1.0)))
     n = docs.agg(F.count("*").alias("n"))
     kept = document_frequencies(tf).join(F.broadcast(n)).where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n")))
     rows = tf.join(kept, "term").select(key, "term", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("raw"))
@@ -113,4 +128,4 @@ def unpack(packed_: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def top_terms(docs: DataFrame, tokens: Column, n: int = 1, k: int = 100) -> DataFrame:
     """The k most frequent n-grams over the filtered tokens, ties in term order."""
-    return docs.select(F.explode(ngrams(tokens, n)).alias("term")).groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(k)
+    return docs.select(F.explode_outer(ngrams(tokens, n)).alias("term")).where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(k)
