@@ -41,8 +41,8 @@ def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, split_last=False)
-    drawn = mixed.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.explode("mix.draws").alias("draw"))
+    mixed = mixing.mix(docs, split_last=False, name="__mix")
+    drawn = mixed.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.explode("__mix.draws").alias("draw"))
     return drawn.repartition("draw.shard").sortWithinPartitions("draw.shard", "draw.place").select("row.*")
 
 
