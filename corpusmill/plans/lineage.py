@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +47,22 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+_passing: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables cut inside are removed at its end, but those cut with ``keep``; so nothing lazy that leaves it may read the others."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for name in _passing.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return a scan of it.
 
     A later job that loses an executor re-reads the files instead of running
@@ -54,4 +71,6 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _passing and not keep:
+        _passing[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
