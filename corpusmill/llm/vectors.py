@@ -20,7 +20,13 @@ square of the distinct vectors.
 
 Defined results: vectors that are null, zero or hold null, NaN or infinite
 components link with nothing; vectors of different lengths don't link; repeated
-rows are vectors of their own. Other columns aren't read; empty tables give empty results.
+rows are vectors of their own. A null id never names a component that has another
+id; a component of null ids only has a null name and its rows are kept. Other
+columns aren't read; empty tables give empty results.
+
+Vectors travel in their own type (32-bit floats where the table has those), not as codes: pairs that the
+bound leaves open are settled where the codes meet. Sent elsewhere, they would be as many as a
+dense cluster has pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +42,12 @@ from corpusmill.plans.lineage import cut
 
 THRESHOLD = 0.95
 GROUP = 13_000
+#: Groups stay at ``GROUP`` vectors while there are few, then grow to this many, so that each vector travels less often.
+MAX_GROUP = 65_536
+FEW_GROUPS = 8
 TILE = 1024
+#: Stands for the id of a node whose rows all have a null id; above all ids.
+NAMELESS = 1 << 62
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,11 +94,14 @@ def near_pairs(x: np.ndarray, y: np.ndarray | None, threshold: float):
 def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, group: int = GROUP) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    kind = vectors.schema[vector].dataType.simpleString()
+    rows = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast(kind if kind == "array<float>" else "array<double>").alias("v"))
     number = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
     fine = F.col("v").isNotNull() & F.forall("v", number) & F.exists("v", lambda c: c != 0)
-    nodes = cut(rows.where(fine).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
-    groups = max(1, -(-nodes.count() // group))
+    nodes = rows.where(fine).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
+    nodes = cut(nodes.withColumn("rep", F.coalesce("rep", F.lit(NAMELESS) + F.monotonically_increasing_id())))
+    count = nodes.count()
+    groups = max(1, min(-(-count // group), FEW_GROUPS), -(-count // max(group, MAX_GROUP)))
 
     own = F.pmod(F.xxhash64("rep"), F.lit(groups)).cast("int")
     pairs = nodes.withColumn("g", own).withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
@@ -97,7 +111,7 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
         rep, n, g = (table[c].to_numpy() for c in ("rep", "n", "g"))
         lists = table["v"].combine_chunks()
         lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
-        length, flat, a = lists.value_lengths().to_numpy(), lists.flatten().to_numpy(), table["task"][0].as_py()["a"]
+        length, flat, a = lists.value_lengths().to_numpy(), lists.flatten().to_numpy().astype(np.float64), table["task"][0].as_py()["a"]
         begin = np.cumsum(length) - length
         links, left, right = np.zeros(len(rep), np.int64), [], []
         for d in np.unique(length):
@@ -130,7 +144,8 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     found = nodes.join(stats, "rep", "left").select(F.col("v").alias("w"), "rep", "n", "links", "component_id")
     out = rows.withColumn("fine", F.coalesce(fine, F.lit(False))).join(found, F.col("fine") & (F.col("v") == F.col("w")), "left")
     component = F.coalesce("component_id", "rep", "vec_id")
-    return out.select("vec_id", (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("n") - 1, F.lit(0))).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    component = F.when(component < NAMELESS, component)
+    return out.select("vec_id", (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("n") - 1, F.lit(0))).alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
 def op3_int8_tiles(spark, sf_dir: str) -> DataFrame:
