@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 Rule = tuple[str, str, str]
 MAX_RULES = 100_000
+#: Segments that are written into the plan; more are a table of their own.
+MAX_LITERALS = 500
 
 
 def host_key(host: str) -> str:
@@ -92,16 +94,21 @@ def judge(urls: DataFrame, rules: Sequence[Rule], url: str = "url", default: str
     spark = urls.sparkSession
     shares = shares or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
-    host, path = url_host(F.col(url)), url_path(F.col(url))
-    left = urls.select(F.struct(*[F.col(c) for c in kept]).alias("__row"), host.alias("__host"), path.alias("__path")).select(
+    host, path = url_host(F.col(f"`{url}`")), url_path(F.col(f"`{url}`"))
+    left = urls.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__row"), host.alias("__host"), path.alias("__path")).select(
         F.pmod(F.xxhash64("__row"), F.lit(shares)).cast("int").alias("__share"), "__row", "__host", "__path",
         F.concat(F.array_join(F.reverse(F.split("__host", r"\.")), "."), F.lit(".")).alias("__hkey"), F.lit(1).alias("__is_url"),
         F.lit(None).cast("string").alias("__seg_host"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("__seg"),
     )
     rows = segments(rules)
     text = lambda x: F.lit(x).cast("string")
-    literal = F.array(*[F.struct(text(h).alias("h"), text(p).alias("p"), F.struct(text(r).alias("rule"), text(v).alias("verdict")).alias("seg")) for h, p, r, v in rows])
-    right = spark.range(shares).select(F.col("id").cast("int").alias("__share"), F.explode(literal).alias("s")).select(
+    if len(rows) <= MAX_LITERALS:
+        literal = F.array(*[F.struct(text(h).alias("h"), text(p).alias("p"), F.struct(text(r).alias("rule"), text(v).alias("verdict")).alias("seg")) for h, p, r, v in rows])
+        dealt = spark.range(shares).select(F.col("id").cast("int").alias("__share"), F.explode(literal).alias("s"))
+    else:
+        table = spark.createDataFrame([((h, p, (r, v)),) for h, p, r, v in rows], "s struct<h:string,p:string,seg:struct<rule:string,verdict:string>>")
+        dealt = table.select(F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("__share"), "s")
+    right = dealt.select(
         "__share", F.lit(None).cast(left.schema["__row"].dataType).alias("__row"), F.lit(None).cast("string").alias("__host"), F.col("s.p").alias("__path"),
         F.col("s.h").alias("__hkey"), F.lit(0).alias("__is_url"), F.col("s.h").alias("__seg_host"), F.col("s.seg").alias("__seg"),
     )
