@@ -6,11 +6,12 @@ Four kinds of evidence about a record's language are combined as log odds:
   known language; its weight is tempered to ``TEXT_TRIGRAMS`` trigrams, so that a long
   text does not outvote everything else merely by its length;
 * the language that the markup declares (``<html lang=..>``);
-* the address suffix (the host's last label);
+* the address suffix (the host's last label, if it isn't a number);
 * the host: a prior smoothed hierarchically, host towards domain towards all records.
 
-The last three are estimated from all records by grouped aggregation of the text's own
-posteriors, each shrunk by ``STRENGTH`` records towards the level above. The aggregates
+The last three are estimated from all other records by grouped aggregation of their texts'
+posteriors, each shrunk by ``STRENGTH`` records towards the level above; a record's own
+posterior is taken out of its groups' sums again, so that its text counts once. The aggregates
 are combined before their shuffle, so a host with a third of all records is a
 few partial rows; records meet their host's row in a join that may be split.
 
@@ -68,6 +69,7 @@ def train(docs: DataFrame, label: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages in order, and the log likelihood of each bucket in each of them."""
     spark = docs.sparkSession
     arrow_limits(spark)
+    docs = docs.select("doc_id", "text", F.col(label).alias(label))
     known = docs.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), F.col(label).alias("l"))
     names = sorted(r["l"] for r in known.select("l").distinct().collect())
     if not names:
@@ -89,7 +91,7 @@ def train(docs: DataFrame, label: str = "lang") -> tuple[list[str], np.ndarray]:
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at].astype(np.int64))], names=["k", "b", "n"])
 
-    texts = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"]).select("k", "text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("k", "text")
     rows = texts.mapInArrow(run, "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((len(names), BUCKETS))
     counts[rows["k"].to_numpy(), rows["b"].to_numpy()] = rows["n"].to_numpy()
@@ -143,35 +145,34 @@ def _sums(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.array(*[F.sum(F.element_at("p", k + 1)) for k in range(n)]).alias("s"))
 
 
-def _shrunk(s: Column, parent: Column) -> Column:
-    """Shares by language, drawn towards the level above by ``STRENGTH`` records."""
-    total = F.aggregate(s, F.lit(0.0), lambda a, y: a + y)
-    return F.zip_with(s, parent, lambda x, q: (x + STRENGTH * q) / (total + STRENGTH))
+def _shrunk(s: Column, parent: Column, own: Column) -> Column:
+    """Shares by language without the record's ``own`` posterior, drawn towards the level above by ``STRENGTH`` records."""
+    others = F.zip_with(s, own, lambda x, p: F.greatest(x - p, F.lit(0.0)))
+    total = F.aggregate(others, F.lit(0.0), lambda a, y: a + y)
+    return F.zip_with(others, parent, lambda x, q: (x + STRENGTH * q) / (total + STRENGTH))
 
 
 def fuse(scored: DataFrame, names: list[str]) -> DataFrame:
     """Posterior of each record from its text, declaration, suffix and host."""
     n = len(names)
     records = scored.withColumn("p", posterior(F.col("z")))
-    flat = [1.0 / n] * n
     overall = _sums(records, [], n).first()
-    s = [x or 0.0 for x in (overall["s"] if overall else flat)]
-    prior = [(x + STRENGTH / n) / (sum(s) + STRENGTH) for x in s]
-    base = F.array(*[F.lit(float(x)) for x in prior])
+    sums = F.array(*[F.lit(float(x or 0.0)) for x in (overall["s"] if overall else [0.0] * n)])
+    flat = F.array(*[F.lit(1.0 / n)] * n)
     hosts = cut(_sums(records.where("host IS NOT NULL"), ["domain", "host"], n))
-    domains = _sums(hosts.select("domain", F.col("s").alias("p")), ["domain"], n).select("domain", _shrunk(F.col("s"), base).alias("q"))
-    hosts = hosts.join(domains, "domain").select(F.col("host").alias("h"), F.col("domain").alias("d"), _shrunk(F.col("s"), F.col("q")).alias("host_prior"))
-
-    def ratio(column: str) -> DataFrame:
-        """How much likelier each language is with this value than overall."""
-        return _sums(records.where(F.col(column).isNotNull()), [column], n).select(F.col(column).alias(f"{column}_of"), F.zip_with(_shrunk(F.col("s"), base), base, lambda x, q: F.log(x / q)).alias(f"{column}_odds"))
-
-    declared, suffix = ratio("declared"), ratio("suffix")
-    out = records.join(hosts, F.col("host").eqNullSafe(F.col("h")) & F.col("domain").eqNullSafe(F.col("d")), "left")
-    out = out.join(declared, F.col("declared") == F.col("declared_of"), "left").join(suffix, F.col("suffix") == F.col("suffix_of"), "left")
-    none = F.array(*[F.lit(0.0)] * n)
+    domains = _sums(hosts.select("domain", F.col("s").alias("p")), ["domain"], n).select("domain", F.col("s").alias("domain_sums"))
+    hosts = hosts.join(domains, "domain").select(F.col("host").alias("h"), F.col("domain").alias("d"), F.col("s").alias("host_sums"), "domain_sums")
+    out = records.withColumn("base", _shrunk(sums, flat, F.col("p")))
+    out = out.join(hosts, F.col("host").eqNullSafe(F.col("h")) & F.col("domain").eqNullSafe(F.col("d")), "left")
+    prior = F.when(F.col("h").isNull(), F.col("base")).otherwise(_shrunk(F.col("host_sums"), _shrunk(F.col("domain_sums"), F.col("base"), F.col("p")), F.col("p")))
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    z = add(add(F.col("z"), F.coalesce("declared_odds", none)), add(F.coalesce("suffix_odds", none), F.transform(F.coalesce("host_prior", base), lambda x: F.log(x))))
+    z = add(F.col("z"), F.transform(prior, lambda x: F.log(x)))
+    for column in ("declared", "suffix"):
+        # how much likelier each language is with this value than overall
+        groups = _sums(records.where(F.col(column).isNotNull()), [column], n).select(F.col(column).alias(f"{column}_of"), F.col("s").alias(f"{column}_sums"))
+        out = out.join(groups, F.col(column) == F.col(f"{column}_of"), "left")
+        odds = F.zip_with(_shrunk(F.col(f"{column}_sums"), F.col("base"), F.col("p")), F.col("base"), lambda x, q: F.log(x / q))
+        z = F.when(F.col(f"{column}_of").isNull(), z).otherwise(add(z, odds))
     out = out.withColumn("post", posterior(z))
     best = F.array_position("post", F.array_max("post")).cast("int")
     return out.withColumn("predicted", F.element_at(F.array(*[F.lit(x) for x in names]), best)).withColumn("confidence", F.array_max("post"))
@@ -179,13 +180,14 @@ def fuse(scored: DataFrame, names: list[str]) -> DataFrame:
 
 def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """(kind, page_id, doc_id, declared, predicted, confidence) of every page and document."""
-    host = F.nullif(url_host(F.col("url")), F.lit(""))
+    # the name alone: neither a user before @ nor a port
+    host = F.nullif(F.regexp_replace(url_host(F.col("url")), r"^.*@|:\d*$", ""), F.lit(""))
     plain = F.regexp_replace(F.col("html"), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
     from_pages = pages.select(
         F.lit("page").alias("kind"), F.col("page_id").cast("long").alias("page_id"), F.lit(None).cast("long").alias("doc_id"), host.alias("host"),
         F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), F.lit("")).alias("declared"), plain.alias("text"), F.lit(True).alias("markup"),
     )
-    from_pages = from_pages.withColumn("suffix", F.element_at(F.split("host", r"\."), -1)).withColumn("domain", F.array_join(F.slice(F.concat(F.array(F.lit("")), F.split("host", r"\.")), -2, 2), "."))
+    from_pages = from_pages.withColumn("suffix", F.nullif(F.regexp_extract("host", r"(?:^|\.)([^.]*[^.\d][^.]*)$", 1), F.lit(""))).withColumn("domain", F.array_join(F.slice(F.concat(F.array(F.lit("")), F.split("host", r"\.")), -2, 2), "."))
     from_docs = docs.select(F.lit("document").alias("kind"), F.lit(None).cast("long").alias("page_id"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("host"), F.lit(None).cast("string").alias("declared"), F.col("text"), F.lit(False).alias("markup"))
     from_docs = from_docs.withColumn("suffix", F.lit(None).cast("string")).withColumn("domain", F.when(F.col("host").isNotNull(), F.lit("documents")))
     names, table = train(docs)
