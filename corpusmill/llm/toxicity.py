@@ -11,8 +11,8 @@ against it alone, so the risk can't be driven below zero by overfitting.
 
 Features are hashes of lower-cased words and of their first 4, 5 and 6 bytes, each
 as present once, twice and four times or more. Training reads two bounded samples, the first ``MAX_POSITIVE`` confirmed
-and ``MAX_UNLABELLED`` any documents in hash order; the prior counts all labels of the
-training folds. Scoring is one pass over all whole texts with a model of ``MAX_FEATURES``
+and ``MAX_UNLABELLED`` any documents in hash order, one text of each id, and of a text at most
+``TEXT_FEATURES`` features; the prior counts all labels of the training folds. Scoring is one pass over all whole texts with a model of ``MAX_FEATURES``
 weights and moves no data between tasks.
 
 Defined results: labels.toxic alone is learned from, in folds other than the held-out one; a
@@ -34,10 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm.kernels import LOWER, SPACE, U64, arrow_limits, byte_table, mixed, span_hashes, spans, text_slices
+from corpusmill.plans.lineage import spread
 
 MAX_POSITIVE = 2000
 MAX_UNLABELLED = 4000
 MAX_FEATURES = 1500
+#: Features of one sampled text, the first in hash order; so what the driver gathers has a bound whatever the texts' length.
+TEXT_FEATURES = 8192
 MIN_COUNT = 4
 #: Standard errors by which a feature must be commoner in confirmed texts than in unlabelled ones.
 MIN_LIFT = 6.0
@@ -97,22 +100,31 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear classifier with least non-negative PU risk (Adam, full batches)."""
-    w = np.zeros(positive.shape[1] + 1, np.float32)
-    w[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros_like(w), np.zeros_like(w)
+def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two terms of the PU risk with logistic loss: of positives, and of negatives before it is kept from falling below 0."""
+    return prior * float(np.logaddexp(0, -zp).mean()), float(np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean())
+
+
+def gradient(x_p: np.ndarray, x_u: np.ndarray, zp: np.ndarray, zu: np.ndarray, prior: float) -> np.ndarray:
+    """Of the non-negative risk by weights and bias; where its second term is below 0, against that term alone."""
 
     def pull(x, z, sign):
         """Gradient of the mean of l(sign * z)."""
         g = (-sign * sigmoid(-sign * z) / len(x)).astype(np.float32)
         return np.append(g @ x, g.sum()).astype(np.float32)
 
+    negative = pull(x_u, zu, -1) - prior * pull(x_p, zp, -1)
+    return prior * pull(x_p, zp, 1) + negative if risk(zp, zu, prior)[1] >= 0 else -negative
+
+
+def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear classifier with least non-negative PU risk (Adam, full batches)."""
+    w = np.zeros(positive.shape[1] + 1, np.float32)
+    w[-1] = np.log(prior / (1 - prior))
+    first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
         zp, zu = positive @ w[:-1] + w[-1], unlabelled @ w[:-1] + w[-1]
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        from_negative = pull(unlabelled, zu, -1) - prior * pull(positive, zp, -1)
-        grad = prior * pull(positive, zp, 1) + from_negative if negative >= 0 else -from_negative
+        grad = gradient(positive, unlabelled, zp, zu, prior)
         grad[:-1] += RIDGE * w[:-1]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
@@ -142,12 +154,16 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1) -> Model:
                 where, hashes = where[order], hashes[order]
                 new = np.ones(len(where), bool)
                 new[1:] = (where[1:] != where[:-1]) | (hashes[1:] != hashes[:-1])
-                at = np.searchsorted(where[new], np.arange(j - i + 1)).astype(np.int32)
                 count = np.minimum(np.diff(np.append(np.flatnonzero(new), len(where))), LEVELS[-1]).astype(np.int8)
-                lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in (hashes[new].view(np.int64), count)]
+                where, hashes = where[new], hashes[new]
+                few = np.arange(len(where)) - np.searchsorted(where, where) < TEXT_FEATURES
+                where, hashes, count = where[few], hashes[few], count[few]
+                at = np.searchsorted(where, np.arange(j - i + 1)).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in (hashes.view(np.int64), count)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *lists], names=["p", "f", "c"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("p", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "p").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("p", "text")
     rows = texts.mapInArrow(run, "p int, f array<long>, c array<byte>").toArrow()
     flags = rows["p"].to_numpy().astype(bool)
     flat = lambda name: pa.chunked_array([c.flatten() for c in rows[name].chunks], rows[name].type.value_type).to_numpy()
@@ -206,7 +222,7 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", drop_text: bo
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = with_scores(docs, model, drop_text=True)
     return scored.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
