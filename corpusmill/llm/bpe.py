@@ -13,6 +13,8 @@ reach Python code.
 The files of the public vocabularies are a parameter; merges come from there and
 nothing is trained. No shuffle: every row is encoded where it is read.
 
+Long fragments are merged from a heap, so a text of one word of any length takes n log n steps.
+
 Defined results: null text is empty and gives no tokens; special tokens written in
 a text are taken as themselves; repeated rows are kept; other columns aren't read
 (``encode``) or are carried through (``encode_rows``).
@@ -21,6 +23,7 @@ a text are taken as themselves; repeated rows are kept; other columns aren't rea
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -33,8 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import U64, arrow_limits, span_hashes, spans, text_slices
+from corpusmill.plans.lineage import spread
 
 MEMO = 800_000
+#: Bytes of remembered encodings, and the longest fragment that is remembered.
+MEMO_BYTES, MEMO_LENGTH = 1 << 28, 256
 SLICE = 1 << 20
 
 
@@ -80,6 +86,8 @@ class WordBpe:
         parts = list(fragment)
         if last:
             parts[-1] += self.end
+        if len(parts) > MEMO_LENGTH:
+            return tuple(self.vocab[p] for p in self.merged_long(parts))
         rank = self.rank.get
         none = len(self.rank)
         ranks = [rank(p, none) for p in zip(parts, parts[1:], strict=False)]
@@ -93,6 +101,26 @@ class WordBpe:
                 ranks[k - 1] = rank((parts[k - 1], parts[k]), none)
         return tuple(self.vocab[p] for p in parts)
 
+    def merged_long(self, parts: list[str]) -> list[str]:
+        """The same merges of many parts from a heap of (rank, place), in n log n steps."""
+        rank, n = self.rank.get, len(parts)
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        heap = [(r, k) for k in range(n - 1) if (r := rank((parts[k], parts[k + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, k = heapq.heappop(heap)
+            j = after[k]
+            if not parts[k] or j >= n or rank((parts[k], parts[j])) != r:
+                continue  # one of them is part of another token by now
+            parts[k], parts[j] = parts[k] + parts[j], ""
+            after[k] = after[j]
+            if after[k] < n:
+                before[after[k]] = k
+            for a, b in ((before[k], k), (k, after[k])):
+                if a >= 0 and b < n and (r := rank((parts[a], parts[b]))) is not None:
+                    heapq.heappush(heap, (r, a))
+        return [p for p in parts if p]
+
     def cuts(self, piece: str) -> list[str]:
         """The piece's fragments between its forced boundaries."""
         at = [0, *[k + 1 for k in range(len(piece) - 1) if piece[k : k + 2] not in self.inside], len(piece)]
@@ -105,9 +133,11 @@ class WordBpe:
             key = (fragment, k == len(fragments) - 1)
             found = self.fragments.get(key)
             if found is None:
-                if len(self.fragments) >= MEMO:
-                    self.fragments.clear()
-                found = self.fragments[key] = self.merge(*key)
+                found = self.merge(*key)
+                if len(fragment) <= MEMO_LENGTH:
+                    if len(self.fragments) >= MEMO:
+                        self.fragments.clear()
+                    self.fragments[key] = found
             ids.extend(found)
         return ids
 
@@ -134,7 +164,7 @@ class WordBpe:
         """The table entry of each word; new words are encoded and remembered."""
         with np.errstate(over="ignore"):
             hashes, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(hashes) > MEMO:
+        if len(self.known) + len(hashes) > MEMO or sum(map(len, self.pools)) > MEMO_BYTES:
             self.forget()
         at = np.searchsorted(self.known, hashes)
         new = np.ones(len(hashes), bool)
@@ -217,4 +247,4 @@ def encode_rows(docs: DataFrame, path: str | None = None, key: str = "doc_id", t
 
 
 def op7_bpe(spark, sf_dir: str) -> DataFrame:
-    return encode(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return encode(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
