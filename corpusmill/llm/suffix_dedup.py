@@ -25,9 +25,12 @@ documents embed, each between other words) is split: its contexts are cut into r
 8 windows, then of single ones, dealt by the bytes common to a run and resolved the same way.
 Single windows of one key are equal, so no group outgrows a task, and nothing is dropped.
 
+Contexts count as equal when their anchors (64 bits) and contents (64 bits) have equal hashes; different ones are
+compared byte by byte through the index.
+
 Defined results: null text is empty; texts under 200 bytes keep everything; repeated rows are
-each other's copies; rows are told apart by id and text hash, so ids may repeat or be
-null; other columns are carried through by ``strip_repeats``.
+each other's copies, whatever their number; rows are told apart by id and text hash, so ids may
+repeat or be null (equal rows are read as one with a count); other columns are carried through by ``strip_repeats``.
 """
 
 from __future__ import annotations
@@ -39,15 +42,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm.kernels import U64, arrow_limits, mixed, span_hashes, text_slices
-from corpusmill.plans.lineage import cut
+from corpusmill.plans.lineage import cut, passing, spread
 
 LENGTH = 200
 GRAM = 16
 PIECE = 1 << 24
 BLOCK = 1_500_000
-MAX_GROUP = 16_384
+MAX_GROUP = 2_048
 #: Ranks below it are packed three to a number and sorted at once; in larger blocks by three columns.
 FIELD = 1 << 21
 #: Windows of a split context, level by level; 0 stands for the anchor's own.
@@ -336,11 +340,19 @@ def with_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """``docs`` with ``__runs``: first and last start of the repeated windows, in no order; null for none."""
     spark = docs.sparkSession
     arrow_limits(spark)
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     ident = [F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(F.col(f"`{text}`")).alias("th")]
-    texts = docs.select(*ident, F.col(f"`{text}`").alias("text"))
-    rows = cut(texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_context_rows, _ROWS))
-    runs = _spread(rows, _resolve(rows.withColumn("n", F.lit(1).cast("long")), texts.where(F.octet_length("text") >= LENGTH)))
+    texts = docs.select(*ident, F.col(f"`{text}`").alias("text")).where(F.octet_length("text") >= LENGTH)
+    with passing(spark):
+        more = cut(texts.groupBy("did", "th").agg(F.count("*").alias("n")).where("n > 1"))
+        if more.isEmpty():
+            rows = cut(texts.mapInArrow(_context_rows, _ROWS).withColumn("n", F.lit(1).cast("long")))
+        else:  # equal rows go on as one
+            once = texts.join(more.select("did", "th"), ["did", "th"], "left_anti")
+            again = texts.join(more, ["did", "th"]).groupBy("did", "th").agg(F.first("text").alias("text"))
+            texts = cut(once.unionByName(again))
+            rows = texts.mapInArrow(_context_rows, _ROWS).join(more, ["did", "th"], "left")
+            rows = cut(rows.withColumn("n", F.coalesce("n", F.lit(1).cast("long"))))
+        runs = cut(_spread(rows, _resolve(rows, texts)), keep=True)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *ident)
     return whole.join(runs, ["did", "th"], "left").select("__row", F.col("runs").alias("__runs"))
 
@@ -407,10 +419,10 @@ def strip_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     marked = with_runs(docs)
     row = marked.schema["__row"].dataType
     hit = marked.where("__runs IS NOT NULL")
-    done = hit.select("__row", F.col(f"__row.`{text}`").alias("text"), "__runs").mapInArrow(_stripped, f"row {row.simpleString()}, text string")
-    done = done.select(F.col("row").withField(text, F.col("text")).alias("row"))
+    done = hit.select("__row", F.col(f"__row.`{text}`").alias("text"), "__runs").mapInArrow(_stripped, T.StructType([T.StructField("row", row), T.StructField("text", T.StringType())]))
+    done = done.select(F.col("row").withField(f"`{text}`", F.col("text")).alias("row"))
     return marked.where("__runs IS NULL").select(F.col("__row").alias("row")).unionByName(done).select("row.*")
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return digests(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
