@@ -7,6 +7,8 @@ never a group or a partition.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +21,19 @@ U64 = np.uint64
 
 
 def arrow_limits(spark) -> None:
-    """Arrow batches of bounded size, whatever the length of the texts."""
+    """Arrow batches of bounded size, whatever the length of the texts, and shuffle files that go when a query is over."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
+def tidy() -> None:
+    """Hand freed memory back, which a Python worker would keep from one stage to the next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets); null counts as empty."""
     col = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
@@ -37,6 +47,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE)
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
+    tidy()
 
 
 def byte_table(members) -> np.ndarray:
@@ -86,11 +97,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, the same wherever the span stands."""
+    """A 64-bit hash of each span's bytes, the same wherever the span stands.
+
+    Polynomials modulo 2**64 have known collisions from 1,024 bytes on; spans over 512 bytes take XXH64.
+    """
     power, inverse = _tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, U64)
     np.cumsum((data.astype(U64) + U64(1)) * power[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    out = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    for k in np.flatnonzero(ends - starts > 512):
+        out[k] = xxhash.xxh64_intdigest(data[starts[k] : ends[k]].tobytes(), 42)
+    return out
 
 
 # Fixed values of XXH64.

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.components import components
-from corpusmill.llm.kernels import LOWER, SPACE, U64, arrow_limits, forest, mixed, spans, text_slices, xxh64
-from corpusmill.plans.lineage import cut
+from corpusmill.llm.kernels import LOWER, SPACE, U64, arrow_limits, forest, mixed, spans, text_slices, tidy, xxh64
+from corpusmill.plans.lineage import cut, passing, spread
 
 SHINGLE = 3
 SEED = 42
@@ -116,6 +116,7 @@ def buckets(batches: Iterator[pa.RecordBatch], run: int = RUN) -> Iterator[list[
             held, rows = [[c[n:] for c in cols]], len(cols[0]) - n if n else 0
     if held and len(held[0][0]) + len(held) > 1:
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
+    tidy()
 
 
 def within(tab: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -183,7 +184,9 @@ SAMPLE, COMMON = 10_000, 100_000
 #: hashes fall on it. Two sets differ in at least as many shingles as their parities in bits.
 PARITIES = 512
 #: Pairs that are held at a time.
-PAIRS = 1 << 19
+PAIRS = 1 << 17
+#: Bytes of parities that are compared at a time.
+PARITY_BYTES = 1 << 23
 #: Rows of one key in a task, or shingles of one group in units of ``WEIGHT``.
 CHUNK, WEIGHT = 1024, 512
 
@@ -198,7 +201,7 @@ def dealt(rows: DataFrame, keys: list[str], most: int | None = None) -> DataFram
     """
     most = most or CHUNK
     weights = rows.groupBy(*keys).agg(F.sum("weight").alias("__n"), F.min("part").alias("__p"), F.max("part").alias("__q"))
-    rows = rows.join(weights.where("__p <> __q").drop("__p", "__q"), keys)
+    rows = cut(rows.join(weights.where("__p <> __q").drop("__p", "__q"), keys))
     task = lambda a, b: F.xxhash64(*keys, a, b).alias("task")
     kept = [c for c in rows.columns if c not in ("__n", "weight")]
     zero = F.lit(0).cast("long")
@@ -286,8 +289,10 @@ class Parities:
         """Bits in which rows i and j differ; 0 where one is over twice as long as the other."""
         out, shorter = np.zeros(len(i), np.int64), np.minimum(self.width[i], self.width[j])
         for width, (spot, table) in self.levels.items():
-            at = np.flatnonzero((shorter == width) & (spot[i] >= 0) & (spot[j] >= 0))
-            out[at] = np.bitwise_count(table[spot[i[at]]] ^ table[spot[j[at]]]).sum(axis=1)
+            every = np.flatnonzero((shorter == width) & (spot[i] >= 0) & (spot[j] >= 0))
+            step = max(1, PARITY_BYTES // width)
+            for at in (every[k : k + step] for k in range(0, len(every), step)):
+                out[at] = np.bitwise_count(table[spot[i[at]]] ^ table[spot[j[at]]]).sum(axis=1)
         return out
 
 
@@ -453,15 +458,24 @@ def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: f
     arrow_limits(docs.sparkSession)
     ident = [F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(F.col(f"`{text}`")).alias("th")]
     texts = docs.select(*ident, F.col(f"`{text}`").alias("text"))
-    rows = cut(texts.mapInArrow(_sketches(words, similarity, _common(texts, words)), _SKETCH))
+    with passing(docs.sparkSession):
+        kept = cut(_kept(texts, words, similarity), keep=True)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *ident).join(kept, ["did", "th"])
+    one = Window.partitionBy("did", "th").orderBy(F.lit(0))
+    return whole.withColumn("n", F.row_number().over(one)).where("n = 1").select("__row.*")
+
+
+def _kept(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(did, th) of the text that stays of each group."""
+    rows = texts.mapInArrow(_sketches(words, similarity, _common(texts, words)), _SKETCH)
     nodes = cut(rows.groupBy("node", "rank", *_W, "m").agg(F.min(F.struct("did", "th")).alias("rep"), F.first("x").alias("x"), F.first("p").alias("p")))
 
     links = cut(_alike(cut(_near_pivot(nodes, similarity)), texts, nodes, words, similarity))
     of = components(links)
     parted = nodes.join(of, nodes["node"] == of["id"], "left").withColumn("part", F.coalesce("component_id", "node"))
-    parted = cut(parted.select("node", "m", "x", "p", "part"))
+    parted = parted.select("node", "m", "x", "p", "part")
     prefixes = parted.select("node", "part", "m", F.posexplode("x").alias("pos", "key"), F.lit(1).alias("weight"))
-    meeting = cut(dealt(prefixes, ["key"])).join(parted.select("node", "p"), "node")
+    meeting = dealt(prefixes, ["key"]).join(parted.select("node", "p"), "node")
     meeting = sorted_tasks(meeting.select("task", "key", "node", "part", "pos", "m", "chunk", "whole", "p"), "key", "part")
     found = cut(meeting.mapInArrow(lambda batches: _meeting(batches, similarity), "a long, b long"))
 
@@ -472,12 +486,10 @@ def drop_near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, similarity: f
     sets = _sets(tasks.select("node").distinct(), texts, nodes, words, packed=True)
     tasks = sorted_tasks(tasks.join(sets, "node").select("task", "key", "node", "part", "chunk", "whole", "set"), "key")
     of = components(links.unionByName(cut(tasks.mapInArrow(lambda batches: _verified(batches, similarity), "a long, b long"))))
-    kept = nodes.join(of, nodes["node"] == of["id"], "left").groupBy(F.coalesce("component_id", "node").alias("c")).agg(F.min("rep").alias("rep")).select("rep.did", "rep.th")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *ident).join(kept, ["did", "th"])
-    one = Window.partitionBy("did", "th").orderBy(F.lit(0))
-    return whole.withColumn("n", F.row_number().over(one)).where("n = 1").select("__row.*")
+    kept = nodes.join(of, nodes["node"] == of["id"], "left").groupBy(F.coalesce("component_id", "node").alias("c")).agg(F.min("rep").alias("rep"))
+    return kept.select("rep.did", "rep.th")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
-    fps = cut(fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    fps = cut(fingerprints(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))))
     return fps.join(classes(fps), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
