@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import U64, arrow_limits, text_slices
+from corpusmill.plans.lineage import spread
 
 UNIT = 192
 SLICE = 1 << 20
@@ -297,4 +298,4 @@ def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text", keep
 
 
 def op9_jpeg_media(spark, sf_dir: str) -> DataFrame:
-    return media_columns(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_media=False)
+    return media_columns(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), keep_media=False)

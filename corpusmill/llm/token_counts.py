@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import U64, arrow_limits, mixed, span_hashes, spans, text_slices
+from corpusmill.plans.lineage import spread
 
 MEMO = 600_000
 TRIE_DEPTH = 96
@@ -187,4 +188,4 @@ def token_counts(docs: DataFrame, path: str | None = None, key: str = "doc_id",
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
-    return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return token_counts(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))

@@ -75,6 +75,14 @@ def test_suffix_dedup_equals_brute_force(odd_docs, monkeypatch, group):
     assert sorted_rows(suffix_dedup.digests(df).collect()) == sorted_rows(want)
 
 
+def test_repeated_rows_are_one_row_with_a_count(spark):
+    text = "".join(random.Random(4).choice("abcdef ") for _ in range(700))
+    rows = [(None, text)] * 2000 + [(None, text[100:400] + "!"), (1, text)]
+    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(d, *r) for (d, _), r in zip(rows, removed([t.encode() for _, t in rows]), strict=True)]
+    assert sorted_rows(got) == sorted_rows(want)
+
+
 def test_strip_repeats_keeps_columns_and_whole_characters(odd_docs, no_docs):
     rows, df = odd_docs
     out = suffix_dedup.strip_repeats(df)
@@ -150,6 +158,25 @@ def test_nnpu_risk_is_not_driven_below_zero():
     assert w[0] > 0 and z[:40].mean() > z[40:].mean() + 1
 
 
+def test_risk_and_gradient_equal_plain_loops():
+    rng = np.random.default_rng(1)
+    x_p, x_u, w = (rng.random((7, 3)) < 0.5).astype(np.float32), (rng.random((11, 3)) < 0.5).astype(np.float32), rng.normal(size=4)
+    loss = lambda z: math.log1p(math.exp(-z))
+
+    def plain(w, prior):
+        z = lambda row: sum(a * b for a, b in zip(row, w[:3], strict=True)) + w[3]
+        first = prior * sum(loss(z(r)) for r in x_p) / 7
+        return first, sum(loss(-z(r)) for r in x_u) / 11 - prior * sum(loss(-z(r)) for r in x_p) / 7
+
+    for prior in (0.2, 0.95):
+        zp, zu = x_p @ w[:3] + w[3], x_u @ w[:3] + w[3]
+        terms = plain(w, prior)
+        assert np.allclose(toxicity.risk(zp, zu, prior), terms)
+        goal = (lambda v, p=prior: sum(plain(v, p))) if terms[1] >= 0 else (lambda v, p=prior: -plain(v, p)[1])
+        steps = [(goal(w + 1e-5 * e) - goal(w - 1e-5 * e)) / 2e-5 for e in np.eye(4)]
+        assert np.allclose(toxicity.gradient(x_p, x_u, zp, zu, prior), steps, atol=1e-4)
+
+
 # --- vectors
 
 
@@ -170,6 +197,10 @@ def test_links_equal_all_pairs(spark):
         got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vectors.link_vectors(df, group=group).collect()}
         assert got == want
     assert vectors.link_vectors(df.limit(0)).count() == 0
+    few = [(None, [1.0, 0.0]), (None, [1.0, 0.01]), (None, [0.0, 1.0]), (7, [0.0, 1.0]), (5, [0.01, 1.0]), (None, None)]
+    for kind in ("float", "double"):
+        got = vectors.link_vectors(spark.createDataFrame(few, f"vec_id long, embedding array<{kind}>")).collect()
+        assert sorted_rows(got) == sorted_rows([(None, 1, None, True), (None, 1, None, True), (None, 2, 5, False), (7, 2, 5, False), (5, 2, 5, True), (None, 0, None, True)])
 
 
 def test_quantisation_bound_holds():
@@ -358,6 +389,26 @@ def test_mixing_takes_its_targets(spark, no_docs, split_last):
     assert mixing.mix(no_docs).count() == 0
 
 
+def test_mixing_draws_are_the_trees(spark, monkeypatch):
+    """Each shard gets of each source as many blocks as the tree says, long digits and short ones alike."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 3)  # blocks of five digits at most
+    trees = []
+    real = mixing.split_runs
+    monkeypatch.setattr(mixing, "split_runs", lambda counts, shards: trees.append((counts, list(real(counts, shards)))) or trees[-1][1])
+    rows = [(k, "w " * (1 + k % 3), "abc"[min(k % 7, 2)]) for k in range(400)]
+    for first in (1, 3):
+        monkeypatch.setattr(mixing, "FIRST_DIGITS", first)
+        out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), shards=9, name="m").collect()
+        (counts, tree), names = trees.pop(), sorted({r["source"] for r in out})
+        digits = {x: next(k for k in range(9) if sum(r["m"]["size"] for r in out if r["source"] == x) <= 3 * 16**k) for x in names}
+        block = lambda r: hashlib.md5(f"mix-1:{r['doc_id']}".encode()).hexdigest()[: digits[r["source"]]]
+        seen = {(r["source"], block(r), d["epoch"], d["shard"]) for r in out for d in r["m"]["draws"]}
+        assert len({x[:3] for x in seen}) == len(seen)  # a block goes to one shard in each epoch
+        got = collections.Counter((shard, names.index(source)) for source, _, _, shard in seen)
+        assert got == {(shard, n): k for shard, of, have in tree for n, k in zip(of.tolist(), have.tolist(), strict=True)}
+        assert sum(got.values()) == sum(counts) and all(sum(x["words"] for x in r["m"]["draws"]) == r["m"]["taken"] for r in out)
+
+
 # --- BPE
 
 
@@ -378,6 +429,9 @@ def test_bpe_equals_the_library(spark, odd_docs, no_docs):
         ids = library.encode(t or "", add_special_tokens=False).ids
         want.append((d, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
     assert sorted_rows(bpe.encode(df).collect()) == sorted_rows(want)
+    long = ["a" * 100_000 + "b", "".join(rng.choice("abcdefgh") for _ in range(1_000_000)), "é漢" * 30_000]
+    for t in long:
+        assert bpe.encoder(bpe.default_path()).ids(t) == library.encode(t, add_special_tokens=False).ids
     packed = {r["doc_id"]: np.frombuffer(r["ids"], "<u2").tolist() for r in bpe.encode_rows(df).collect()}
     assert packed[1001] == library.encode(more[1], add_special_tokens=False).ids and packed[1] == []
     assert bpe.encode(no_docs).count() == 0
@@ -441,6 +495,40 @@ def plain_decode(media: bytes) -> list[int]:
     return out
 
 
+def test_language_of_held_out_documents(spark, small):
+    pages, docs = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("pages", "documents"))
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    out = language.identify(pages, docs.withColumn("lang", F.when(~hidden, F.col("lang"))).withColumn("k", F.lit("clash")).withColumn("z", F.lit(0)))
+    rows = out.join(docs.where(hidden).select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) > 50 and sum(r["predicted"] == r["lang"] for r in rows) >= 0.96 * len(rows)
+
+
+def test_fusion_equals_a_plain_one(spark):
+    rng = random.Random(8)
+    hosts = [("a.x.de", "x.de", "de"), ("b.x.de", "x.de", "de"), ("c.org", "c.org", "org"), (None, None, None)]
+    rows = [(k, *rng.choice(hosts), rng.choice([None, "fr", "de"]), [rng.gauss(0, 2) for _ in range(3)]) for k in range(40)]
+    rows = [(k, h, d, s, c, z) for k, h, d, s, c, z in rows]
+    df = spark.createDataFrame(rows, "id long, host string, domain string, suffix string, declared string, z array<double>")
+    soft = lambda z: [math.exp(x) / sum(map(math.exp, z)) for x in z]
+    p = {r[0]: soft(r[5]) for r in rows}
+
+    def shares(of, parent):
+        """Of the records in ``of``, drawn towards ``parent``."""
+        sums = [sum(p[k][n] for k in of) for n in range(3)]
+        return [(x + language.STRENGTH * q) / (sum(sums) + language.STRENGTH) for x, q in zip(sums, parent, strict=True)]
+
+    for r in language.fuse(df, ["de", "en", "fr"]).collect():
+        others = [x for x in rows if x[0] != r["id"]]
+        like = lambda n, v, others=others: [x[0] for x in others if x[n] == v]
+        base = shares([x[0] for x in others], [1 / 3] * 3)
+        prior = shares([x[0] for x in others if (x[1], x[2]) == (r["host"], r["domain"])], shares(like(2, r["domain"]), base)) if r["host"] else base
+        z = [a + math.log(b) for a, b in zip(r["z"], prior, strict=True)]
+        for n, column in ((4, "declared"), (3, "suffix")):
+            if r[column]:
+                z = [a + math.log(b / q) for a, b, q in zip(z, shares(like(n, r[column]), base), base, strict=True)]
+        assert np.allclose(r["post"], soft(z)) and r["predicted"] == ["de", "en", "fr"][int(np.argmax(z))]
+
+
 def test_language_learns_every_label(spark):
     """More than 64 labels, the rarest of one document among them."""
     word = lambda k: " ".join(chr(97 + (k + a) % 26) + chr(97 + k // 26) + chr(97 + (k * 7 + a) % 26) for a in range(5))
@@ -508,6 +596,67 @@ def test_token_counts_equal_the_plain_recurrence(spark, odd_docs, no_docs, small
     assert token_counts.token_counts(no_docs).count() == 0
 
 
+def test_token_counts_equal_all_segmentations():
+    """Against every segmentation of short words, scored from the vocabulary file alone."""
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    own = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    own = [p.replace("▁", " ").encode() for p in own if "▁" not in p[1:]]
+    score = {p: -round(math.log(k + 2) * 2**20) for k, p in reversed(list(enumerate(own)))}
+    lone = -round(math.log(10**12 + 1) * 2**20)
+    words = [b"the", b"zqxj", b"token", "é漢".encode(), b"aaaa", b"ing", b"h", b"wordpiece"]
+
+    def plain(word):
+        best = None
+        for cuts in itertools.product((0, 1), repeat=len(word) - 1):
+            at = [0, *[k + 1 for k, c in enumerate(cuts) if c], len(word)]
+            parts = [word[a:b] for a, b in itertools.pairwise(at)]
+            if all(p in score or len(p) == 1 for p in parts):
+                got = sum(max(score.get(p, lone), lone) if len(p) == 1 else score[p] for p in parts), -len(parts)
+                best = max(best or got, got)
+        return -best[1]
+
+    data = np.frombuffer(b"\n".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    with np.errstate(over="ignore"):
+        got = token_counts.Unigram(token_counts.pieces(token_counts.default_path())).word_counts(data, ends - [len(w) for w in words], ends)
+    assert got.tolist() == [plain(b" " + w) for w in words]
+
+
+# --- clashing names
+
+
+CLASH = ("k", "l", "n", "id", "fp", "key", "rep", "row", "runs", "size", "mix", "score", "text2", "part", "node", "did", "th", "no", "blk", "a.b", "with space")
+
+
+def test_clashing_and_odd_column_names(spark):
+    """Extra columns of the operators' own names, and names that need quoting, change nothing."""
+    texts = random_texts(12) + [None, "", "one two three four five six seven"] * 2
+    docs = spark.createDataFrame([(k, t, "en" if k % 2 else "de", "s") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    odd = docs.select("*", *[F.lit(c).alias(c) for c in CLASH])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id long, toxic int")
+    pages = spark.createDataFrame([(1, "http://a.net/es/", "<p>x")], "page_id long, url string, html string")
+    e = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1])], "vec_id long, embedding array<float>")
+    more = lambda df: df.select("*", *[F.lit(c).alias(c) for c in CLASH])
+    for plain, with_more in (
+        (suffix_dedup.digests(docs), suffix_dedup.digests(odd)),
+        (suffix_dedup.strip_repeats(docs), suffix_dedup.strip_repeats(odd).select(docs.columns)),
+        (toxicity.with_scores(docs, toxicity.fit(docs, labels)), toxicity.with_scores(odd, toxicity.fit(odd, more(labels))).select(*docs.columns, "score")),
+        (vectors.link_vectors(e), vectors.link_vectors(more(e))),
+        (url_filter.judge(pages, url_filter.QUERY_RULES), url_filter.judge(more(pages), url_filter.QUERY_RULES).select(*pages.columns, "host", "path", "rule", "verdict")),
+        (simhash.fingerprints(docs), simhash.fingerprints(odd)),
+        (simhash.drop_near_duplicates(docs), simhash.drop_near_duplicates(odd).select(docs.columns)),
+        (mixing.mix(docs), mixing.mix(odd).select(*docs.columns, "mix")),
+        (bpe.encode(docs), bpe.encode(odd)),
+        (language.identify(pages, docs), language.identify(more(pages), odd)),
+        (jpeg.media_columns(docs), jpeg.media_columns(odd)),
+        (token_counts.token_counts(docs), token_counts.token_counts(odd)),
+    ):
+        assert sorted_rows(plain.collect()) == sorted_rows(with_more.collect())
+
+
 # --- queries and the pipeline
 
 
