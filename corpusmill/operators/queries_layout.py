@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import binary, layout, markup
 from corpusmill.operators.catalogue import query
-from corpusmill.operators.queries_text import STRIP
+from corpusmill.operators.queries_text import SPACE, STRIP, text_sql
 from corpusmill.plans.lineage import table
 
 C = F.col
@@ -73,12 +73,27 @@ def _(spark, d):
     return layout.clean_text(nested(spark, d))
 
 
-@query("k10_reflow")
+#: The fold over lines, one step of all documents at a time.
+REFLOW_SQL = f"""WITH RECURSIVE r AS (SELECT doc_id, string_split(text, chr(10)) AS ls, 0 AS k, CAST([] AS VARCHAR[]) AS done, '' AS buf FROM documents UNION ALL SELECT doc_id, ls, k + 1,
+CASE WHEN buf <> '' AND (ln = '' OR (NOT ends_with(buf, '-') AND bullet)) THEN list_append(done, {STRIP('buf')}) ELSE done END,
+CASE WHEN ln = '' THEN '' WHEN buf = '' THEN lead WHEN ends_with(buf, '-') THEN substr(buf, 1, length(buf) - 1) || CASE WHEN regexp_matches(ln, '^\\p{{Ll}}') THEN lead ELSE '-' || lead END
+WHEN bullet THEN lead ELSE buf || ' ' || lead END
+FROM (SELECT *, regexp_replace(ls[k + 1], '[{SPACE}]+$', '') AS ln, {STRIP('ls[k + 1]')} AS lead, regexp_matches(ln, '^(\\s*[-•*]|\\s*\\d+[.)])\\s') AS bullet FROM r WHERE k < len(ls)))
+SELECT doc_id, array_to_string(list_transform(CASE WHEN buf <> '' THEN list_append(done, {STRIP('buf')}) ELSE done END, lambda p: {STRIP(f"regexp_replace(p, '[{SPACE}]+', ' ', 'g')")}), chr(10) || chr(10)) AS text FROM r WHERE k = len(ls)"""
+
+
+@query("k10_reflow", REFLOW_SQL)
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", layout.reflow(F.split("text", "\n")).alias("text"))
 
 
-@query("e1_base58")
+#: A sum of digits times powers, in hex of whole bytes, behind a zero byte for each leading one.
+BASE58_SQL = f"""SELECT page_id, repeat('00', length(s) - length(ltrim(s, '1'))) || repeat('0', length(h) % 2) || h AS decoded FROM (SELECT page_id, s,
+printf('%X', CAST(list_sum(list_transform(range(1, length(s) + 1), lambda i: (strpos('{binary.ALPHABET}', s[i]) - 1) * CAST(pow(58, length(s) - i) AS BIGINT))) AS BIGINT)) AS h
+FROM (SELECT page_id, '11' || translate(CAST(page_id AS VARCHAR), '0', 'z') AS s FROM pages))"""
+
+
+@query("e1_base58", BASE58_SQL)
 def _(spark, d):
     return table(spark, d, "pages").select("page_id", F.hex(binary.base58_decode(F.concat(F.lit("11"), F.translate("page_id", "0", "z")))).alias("decoded"))
 
@@ -98,12 +113,15 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", F.hex(binary.post_encode(F.array("source", "lang", "text"))).alias("packed"))
 
 
-@query("h1_parsed_text")
+@query("h1_parsed_text", f"SELECT page_id, {text_sql('html')} AS text FROM pages")
 def _(spark, d):
     return table(spark, d, "pages").select("page_id", markup.parsed_text("html").alias("text"))
 
 
-@query("h6_link_table")
+ROOT_SQL = "regexp_extract(url, '^[a-z]+://[^/?#]*')"
+
+
+@query("h6_link_table", f"SELECT page_id, {ROOT_SQL} || '/f.txt' AS url, 'S' || page_id AS section, 'T' AS title, {ROOT_SQL} || '/t' AS title_url, 'Mar 4, 2021' AS publication_date FROM pages")
 def _(spark, d):
     row = F.expr("'<h2>S' || page_id || '</h2><table><tr><td><a href=\"/t\">T</a></td><td>Mar 4, 2021</td><td><a href=\"/f.txt\">Download</a></td></tr></table>' || html")
     return table(spark, d, "pages").select("page_id", F.inline(markup.link_table(row, C("url"))))

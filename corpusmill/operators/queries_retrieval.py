@@ -8,7 +8,7 @@ from corpusmill.functions import text as X
 from corpusmill.operators import chunk, search, state, tfidf, training
 from corpusmill.operators import vectors as V
 from corpusmill.operators.catalogue import query
-from corpusmill.operators.queries_text import STRIP
+from corpusmill.operators.queries_text import CHUNK_SQL, STRIP
 from corpusmill.plans.lineage import cut, scratch, spread, table
 from corpusmill.sources import io
 
@@ -522,7 +522,14 @@ def _(spark, d):
     return read.select("term", F.size("doc_ids").cast("long").alias("n"), F.element_at("doc_ids", 1).alias("first"), F.round(total, 4).alias("weight"))
 
 
-@query("flagship_chunk_search")
+#: Chunks in the place of documents.
+CHUNKED_TF = " UNION ALL ".join(f"SELECT doc_id, unnest({TOKENS(c)}) AS term, CAST({w} AS DOUBLE) AS w FROM p" for c, w in zip(("chunk_text", "source", "lang"), tfidf.FIELDS.values(), strict=True))
+CHUNKED_SQL = f"""WITH p AS ({CHUNK_SQL} SELECT doc_id || ':' || i AS doc_id, array_to_string(c.w[st + 1:en], ' ') AS chunk_text, source, lang FROM c JOIN documents USING (doc_id)),
+tf AS (SELECT doc_id, term, sum(w) AS tf FROM ({CHUNKED_TF}) GROUP BY doc_id, term){W_SQL.removeprefix(TF_SQL).replace("FROM documents", "FROM p")}, {Q_SQL}
+SELECT query_id, doc_id AS chunk_id, score, CAST(rank AS INTEGER) AS rank FROM lex WHERE rank <= 10"""
+
+
+@query("flagship_chunk_search", CHUNKED_SQL)
 def flagship(spark, d):
     """Documents to chunks to a weighted index; every benchmark item as a query, its ten best chunks."""
     parts = chunk.chunks(docs(spark, d), keep=("source", "lang"))

@@ -187,7 +187,17 @@ def _(spark, d):
     return docs(spark, d).select("doc_id", X.note_on_new_line(F.expr(NOTED)).alias("text"))
 
 
-@query("c13_clamp")
+CLOSING = """[)"''»\\]\\)’]*"""
+ENDING = f"[.!?…]{CLOSING}"
+CLAMP_SQL = f"""{CHUNK_SQL}, a AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, array_to_string(w[st + 1:en], ' ') AS t FROM c), b AS (SELECT *, {STRIP('t')} AS whole FROM a),
+h AS (SELECT *, CASE WHEN regexp_matches(whole, '^[A-Z0-9“"(\\[]') OR NOT regexp_matches(whole, '{ENDING}\\s+') OR length(regexp_extract(whole, '(?s)^(.*?){ENDING}\\s+', 1)) >= 220
+  THEN whole ELSE {STRIP(f"regexp_replace(whole, '(?s)^.*?{ENDING}' || chr(92) || 's+', '')")} END AS head FROM b),
+u AS (SELECT *, regexp_extract(head, '(?s)^(.*{ENDING})', 1) AS upto FROM h),
+z AS (SELECT *, CASE WHEN regexp_matches(head, '{ENDING}\\s*$') OR upto = '' OR length(head) - length(upto) >= 220 THEN head ELSE {STRIP('upto')} END AS tail FROM u)
+SELECT doc_id, chunk_index, CASE WHEN t = '' THEN '' WHEN length(tail) < 60 THEN whole ELSE tail END AS shown FROM z"""
+
+
+@query("c13_clamp", CLAMP_SQL)
 def _(spark, d):
     return chunk.chunks(docs(spark, d)).select("doc_id", "chunk_index", X.clamp_to_sentences(C("chunk_text")).alias("shown"))
 
