@@ -8,7 +8,9 @@ buckets stay small as the corpus grows), and pairs that share a bucket are
 verified. Equal fingerprints are one node from the start, so a group of copies of
 any size is one row. Within a bucket pairs are compared in numpy along the sorted
 partition; only a spanning forest of the links leaves the task, never all pairs.
-Components follow by star contraction.
+A bucket of more than ``HOT`` fingerprints, as a large family of near copies makes,
+is split into shares and linked through common neighbours (``neighbour_links``), which
+costs in proportion to its rows. Components follow by star contraction.
 
 Defined results: null and empty texts have fingerprint zero and are linked like
 any other; a text with fewer words than a shingle is one shingle; repeated rows
@@ -23,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.components import components
@@ -36,6 +38,10 @@ MAX_BITS = 3
 BLOCKS = 6
 #: Rows of a sorted partition that are compared at a time, besides a bucket that is larger.
 RUN = 200_000
+#: Rows of a bucket that are compared pair by pair; a larger one is split.
+HOT = 1 << 14
+#: Neighbours that are looked up at a time, and rows that are dealt to shares at a time.
+PROBES, DEALT = 1 << 20, 1 << 16
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, words: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +105,39 @@ def block_masks(differ: int = MAX_BITS, blocks: int = BLOCKS) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def ball(mask: int, radius: int) -> np.ndarray:
+    """Every choice of at most ``radius`` of the bits outside ``mask``."""
+    bits = [1 << k for k in range(64) if not mask >> k & 1]
+    return np.array([sum(chosen) for r in range(radius + 1) for chosen in combinations(bits, r)], U64)
+
+
+def share(values: np.ndarray, bits: int) -> np.ndarray:
+    """One of 2**bits shares for each value; the share of an exclusive or is the exclusive or of the shares."""
+    with np.errstate(over="ignore"):
+        masks = mixed(np.arange(1, bits + 1, dtype=U64))
+    out = np.zeros(len(values), np.int64)
+    for k in range(bits):
+        out |= (np.bitwise_count(values & masks[k]) & 1).astype(np.int64) << k
+    return out
+
+
+class Steps:
+    """The exclusive ors of a ball by their share."""
+
+    def __init__(self, mask: int, radius: int, bits: int):
+        steps = ball(mask, radius)
+        shares = share(steps, bits)
+        order = np.argsort(shares, kind="stable")
+        self.steps, self.shares = steps[order], shares[order]
+
+    def around(self, fp: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, neighbour) of all neighbours of ``fp`` whose steps have the wanted shares."""
+        begin, end = (np.searchsorted(self.shares, wanted, side) for side in ("left", "right"))
+        n = end - begin
+        row = np.repeat(np.arange(len(fp)), n)
+        return row, fp[row] ^ self.steps[np.arange(len(row)) + np.repeat(begin - np.cumsum(n) + n, n)]
+
+
 def buckets(batches: Iterator[pa.RecordBatch], run: int = RUN) -> Iterator[list[np.ndarray]]:
     """The columns of whole buckets, ``run`` rows or more at a time, of a partition sorted by its first two columns."""
     held: list[list[np.ndarray]] = []
@@ -150,14 +189,109 @@ def bucket_links(batches: Iterator[pa.RecordBatch], differ: int) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def classes(fps: DataFrame, differ: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
-    """(fp, component_id) for each distinct fingerprint of (doc_id, fp)."""
+def _dealt_shares(batches: Iterator[pa.RecordBatch], masks: list[int], differ: int) -> Iterator[pa.RecordBatch]:
+    """Each row (tab, key, bits, fp, rep) once for every share that has a neighbour of it."""
+    reach = {}
+    for batch in batches:
+        tab, key, bits, fp, rep = (batch.column(k).to_numpy() for k in range(5))
+        for t, b in sorted(set(zip(tab.tolist(), bits.tolist(), strict=True))):
+            if (t, b) not in reach:
+                reach[t, b] = np.unique(share(ball(masks[t], differ - differ // 2), b))
+            at = np.flatnonzero((tab == t) & (bits == b))
+            step = max(1, DEALT // len(reach[t, b]))
+            for some in (at[k : k + step] for k in range(0, len(at), step)):
+                row = np.repeat(some, len(reach[t, b]))
+                own = (share(fp[some].view(U64), b)[:, None] ^ reach[t, b]).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tab[row], key[row], bits[row], own, fp[row], rep[row])], names=["tab", "key", "bits", "share", "fp", "rep"])
+
+
+def neighbour_links(fp: np.ndarray, rep: np.ndarray, near: Steps, far: Steps, wanted: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of one share of the links of a bucket.
+
+    Two fingerprints at most ``differ`` bits apart have a neighbour in common that is at most half of ``differ``
+    away from one and the rest from the other. All that have one nearby neighbour, and all that have it as a farther
+    one, are linked to the first of the former: each such link is one of at most ``differ`` bits.
+    """
+    row, spot = near.around(fp, wanted)
+    spot, first = np.unique(spot, return_index=True)
+    first = row[first]
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    step = max(1, PROBES // max(1, int(np.bincount(far.shares).max())))
+    for a in range(0, len(fp) if len(spot) else 0, step):
+        row, other = far.around(fp[a : a + step], wanted[a : a + step])
+        at = np.minimum(np.searchsorted(spot, other), len(spot) - 1)
+        hit = spot[at] == other
+        i, j = a + row[hit], first[at[hit]]
+        ok = (i != j) & (np.bitwise_count(fp[i] ^ fp[j]) <= differ)
+        x, y = forest(np.concatenate([*left, rep[i[ok]]]), np.concatenate([*right, rep[j[ok]]]))
+        left, right = [x], [y]
+    return left[0], right[0]
+
+
+def _share_links(batches: Iterator[pa.RecordBatch], masks: list[int], differ: int) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the links of each share, of a partition sorted by (task, tab)."""
+    steps = {}
+    for _, tab, bits, own, fp, rep, key in buckets(batches):
+        fp = fp.view(U64)
+        order = np.lexsort((own, key, tab))
+        edge = np.flatnonzero((np.diff(tab[order]) != 0) | (np.diff(key[order]) != 0) | (np.diff(own[order]) != 0)) + 1
+        for at in np.split(order, edge):
+            t, b = int(tab[at[0]]), int(bits[at[0]])
+            if (t, b) not in steps:
+                steps[t, b] = [Steps(masks[t], radius, b) for radius in (differ // 2, differ - differ // 2)]
+            x, y = neighbour_links(fp[at], rep[at], *steps[t, b], share(fp[at], b) ^ own[at], differ)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+
+
+def hot_buckets(nodes: DataFrame, rows: DataFrame, blocks: int, masks: list[int], most: int) -> tuple[Column, DataFrame] | None:
+    """Which rows may be in a bucket of more than ``most``, and (tab, key, n) of those buckets; None if there are none.
+
+    A bucket has no more rows than any of its blocks' values. Those are few, 2,048 a block, and counted first.
+    """
+    part = block_masks(blocks - 1, blocks)
+    values = F.array(*[F.struct(F.lit(k).alias("block"), F.col("fp").bitwiseAND(F.lit(p).cast("long")).alias("value")) for k, p in enumerate(part)])
+    counts = nodes.select(F.explode(values).alias("v")).groupBy("v.block", "v.value").count().where(F.col("count") > most)
+    full: list[list[int]] = [[] for _ in part]
+    for found in counts.collect():
+        full[found["block"]].append(found["value"])
+    if not any(all(full[k] for k, p in enumerate(part) if p & m) for m in masks):
+        return None
+    inside = [F.col("fp").bitwiseAND(F.lit(p).cast("long")).isin(full[k]) if full[k] else F.lit(False) for k, p in enumerate(part)]
+    may = F.lit(False)
+    for t, m in enumerate(masks):
+        here = F.col("tab") == t
+        for k, p in enumerate(part):
+            here = here & inside[k] if p & m else here
+        may = may | here
+    big = cut(rows.where(may).groupBy("tab", "key").agg(F.count("*").alias("n")).where(F.col("n") > most))
+    return None if big.isEmpty() else (may, big)
+
+
+def bucket_forests(nodes: DataFrame, differ: int, blocks: int, most: int) -> DataFrame:
+    """(a, b): links of nodes (fp, rep) that have the components of all pairs at most ``differ`` bits apart."""
+    masks = block_masks(differ, blocks)
+    tables = F.array(*[F.struct(F.lit(t).alias("tab"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks)])
+    rows = nodes.select(F.explode(tables).alias("t"), "fp", "rep").select("t.tab", "t.key", "fp", "rep")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = lambda rows: rows.repartition(parts, "tab", "key").sortWithinPartitions("tab", "key").mapInArrow(lambda batches: bucket_links(batches, differ), "a long, b long")
+    hot = hot_buckets(nodes, rows, blocks, masks, most)
+    if hot is None:
+        return pairs(rows)
+    may, big = hot
+    cold = rows.where(~may).unionByName(rows.where(may).join(big, ["tab", "key"], "left_anti"))
+    bits = F.ceil(F.log2(F.col("n") / most)).cast("int")
+    dealt = rows.where(may).join(big, ["tab", "key"]).select("tab", "key", bits.alias("bits"), "fp", "rep")
+    dealt = dealt.mapInArrow(lambda batches: _dealt_shares(batches, masks, differ), "tab int, key long, bits int, share long, fp long, rep long")
+    dealt = dealt.select(F.xxhash64("tab", "key", "share").alias("task"), "tab", "bits", "share", "fp", "rep", "key")
+    split = sorted_tasks(dealt, "tab").mapInArrow(lambda batches: _share_links(batches, masks, differ), "a long, b long")
+    return pairs(cold).unionByName(split)
+
+
+def classes(fps: DataFrame, differ: int = MAX_BITS, blocks: int = BLOCKS, hot: int = HOT) -> DataFrame:
+    """(fp, component_id) for each distinct fingerprint of (doc_id, fp); buckets of more than ``hot`` are split."""
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    tables = F.array(*[F.struct(F.lit(t).alias("tab"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(block_masks(differ, blocks))])
-    rows = nodes.where("rep IS NOT NULL").select(F.explode(tables).alias("t"), "fp", "rep").select("t.tab", "t.key", "fp", "rep")
-    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = rows.repartition(parts, "tab", "key").sortWithinPartitions("tab", "key").mapInArrow(lambda batches: bucket_links(batches, differ), "a long, b long")
-    of = components(found)
+    of = components(bucket_forests(nodes.where("rep IS NOT NULL"), differ, blocks, hot))
     return nodes.join(of, nodes["rep"] == of["id"], "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
 
 

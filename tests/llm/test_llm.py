@@ -270,6 +270,39 @@ def test_fingerprints_and_classes_equal_brute_force(spark, odd_docs, no_docs):
     assert simhash.classes(simhash.fingerprints(no_docs)).count() == 0
 
 
+@pytest.mark.parametrize(("hot", "differ"), [(8, 3), (20, 3), (8, 2)])
+def test_hot_buckets_equal_brute_force(spark, hot, differ):
+    """Families of near fingerprints, in buckets that are split into shares, and unrelated ones."""
+    rng = np.random.default_rng(hot + differ)
+    centres = rng.integers(0, 1 << 64, 3, dtype=np.uint64)
+    flips = lambda n: sum(1 << int(k) for k in rng.choice(64, n, replace=False))
+    fps = [int(centres[k % 3]) ^ flips(int(rng.integers(0, 6))) for k in range(600)] + [int(x) for x in rng.integers(0, 1 << 64, 100, dtype=np.uint64)]
+    fps = sorted(set(fps))
+    ids = rng.permutation(len(fps)).tolist()
+    near = np.bitwise_count(np.array(fps, np.uint64)[:, None] ^ np.array(fps, np.uint64)) <= differ
+    least = np.array(ids)
+    while not np.array_equal(new := np.where(near, least, len(fps)).min(axis=1), least):
+        least = new
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    table = spark.createDataFrame(list(zip(ids, signed, strict=True)), "doc_id long, fp long")
+    got = {r["fp"]: r["component_id"] for r in simhash.classes(table, differ=differ, hot=hot).collect()}
+    assert got == dict(zip(signed, least.tolist(), strict=True))
+    nodes = table.withColumnRenamed("doc_id", "rep")
+    masks = simhash.block_masks(differ)
+    rows = nodes.select(F.explode(F.array(*[F.struct(F.lit(t).alias("tab"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks)])).alias("t"), "fp").select("t.*", "fp")
+    counts = collections.Counter((t, x & m) for t, m in enumerate(masks) for x in signed)
+    want = {(*k, n) for k, n in counts.items() if n > hot}
+    assert want
+    assert {(r["tab"], r["key"], r["n"]) for r in simhash.hot_buckets(nodes, rows, simhash.BLOCKS, masks, hot)[1].collect()} == want
+    assert simhash.hot_buckets(nodes, rows, simhash.BLOCKS, masks, max(counts.values())) is None
+
+
+def test_shares_are_linear():
+    values = np.random.default_rng(1).integers(0, 1 << 64, 200, dtype=np.uint64)
+    assert np.array_equal(simhash.share(values[:100] ^ values[100:], 9), simhash.share(values[:100], 9) ^ simhash.share(values[100:], 9))
+    assert len(simhash.ball(0, 2)) == 1 + 64 + 64 * 63 // 2
+
+
 def test_near_duplicates_equal_brute_force(spark, small, odd_docs, no_docs):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     sets = {}
