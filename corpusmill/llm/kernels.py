@@ -24,7 +24,7 @@ def arrow_limits(spark) -> None:
     """Arrow batches of bounded size, whatever the length of the texts, and shuffle files that go when a query is over."""
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def tidy() -> None:
