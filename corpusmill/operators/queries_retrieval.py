@@ -222,7 +222,7 @@ def _(spark, d):
 
 @query("v6_v7_capped_clusters")
 def _(spark, d):
-    return V.capped_clusters(vectors(spark, d).select("vec_id", "v"), k=8, cap=200)
+    return V.capped_clusters(table(spark, d, "embeddings").select("vec_id", C("embedding").alias("v")), k=8, cap=200)
 
 
 @query("v10_id_to_cluster", "SELECT vec_id, label AS cluster_id FROM embeddings")

@@ -94,6 +94,39 @@ def test_capped_clusters_end_on_equal_vectors(spark):
     assert sum(r["count"] for r in got) == 40 and max(r["count"] for r in got) <= 20
 
 
+def groups_of(spark, rows, kind="array<double>", **options):
+    """{cluster_id: sorted keys} of capped clusters; each key is in one cluster and ids follow size and least key."""
+    got = [tuple(r) for r in vectors.capped_clusters(spark.createDataFrame(rows, f"vec_id long, v {kind}"), **options).collect()]
+    assert sorted(k for k, _ in got) == sorted(k for k, _ in rows)
+    groups = {c: sorted(k for k, d in got if d == c) for _, c in got}
+    assert [c for c, _ in sorted(groups.items(), key=lambda g: (-len(g[1]), g[1][0]))] == list(range(1, len(groups) + 1))
+    return groups
+
+
+def test_capped_clusters_fit_once_whatever_their_number(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    fits, fit = [], KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, part: fits.append(1) or fit(self, part))
+    rows = [(k, [float(k % 12), float(k % 12 // 3) * 40, (k * 37 % 101) / 1e4]) for k in range(240)]
+    groups = groups_of(spark, rows, k=3, cap=10)
+    assert len(fits) == 1 and max(map(len, groups.values())) <= 10
+
+
+def test_capped_clusters_larger_than_a_task(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "TASK_VALUES", 120)
+    rows = [(k, [100.0 * (k % 8), (k * 37 % 101) / 1e3]) for k in range(400)] + [(k, [-900.0, 0.0]) for k in range(400, 700)]
+    groups = groups_of(spark, rows, k=2, cap=50)
+    assert max(map(len, groups.values())) <= 50 and all(max(g) < 400 or min(g) >= 400 for g in groups.values())
+
+
+def test_capped_clusters_keep_rows_without_a_vector(spark):
+    rows = [(k, [1.0, float(k)]) for k in range(20)] + [(20, None), (21, [1.0]), (22, [float("nan"), 1.0]), (23, [None, 1.0]), (24, [float("inf"), 0.0])]
+    groups = groups_of(spark, rows, k=2, cap=3)
+    assert max(map(len, groups.values())) <= 3 and all(max(g) < 20 or min(g) >= 20 for g in groups.values())
+    assert groups_of(spark, [(1, None), (2, None)], k=2, cap=1) == {1: [1], 2: [2]}
+
+
 def test_state(spark):
     old = spark.createDataFrame([("a", "html", "1"), ("b", "pdf", "2")], "cleaned_url string, content_type string, hash string")
     new = spark.createDataFrame([("a", "xml", "3", 1), ("a", "css", "4", 2), ("c", "js", "5", 1)], "cleaned_url string, content_type string, hash string, at int")
