@@ -238,7 +238,7 @@ def _(spark, d):
 
 @query("v19_epsilon_normalise", f"WITH {E_SQL} SELECT vec_id, list_transform(v, lambda x: round(x / (sqrt({DOT}(v, v)) + 1e-12), 5)) AS unit FROM e")
 def _(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.transform(V.normalise(V.doubles(C("embedding")), V.EPSILON), lambda x: F.round(x, 5)).alias("unit"))
+    return table(spark, d, "embeddings").select("vec_id", F.transform(V.normalise(V.doubles(C("embedding")), V.EPSILON), lambda x: V.rounded(x, 5)).alias("unit"))
 
 
 MAP_SQL = "m AS (SELECT n_name AS asis, 'Region ' || n_regionkey AS clean FROM nation WHERE n_nationkey % 2 = 0)"
