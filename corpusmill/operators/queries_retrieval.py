@@ -183,7 +183,7 @@ def _(spark, d):
 @query("v2_normalise", f"WITH {E_SQL} SELECT vec_id, list_transform(v, lambda x: round(x * 3 / (3 * sqrt({DOT}(v, v))), 5)) AS unit FROM e")
 def _(spark, d):
     tripled = F.transform(V.doubles(C("embedding")), lambda x: x * 3)
-    return table(spark, d, "embeddings").select("vec_id", F.transform(V.normalise(tripled), lambda x: F.round(x, 5)).alias("unit"))
+    return table(spark, d, "embeddings").select("vec_id", F.transform(V.normalise(tripled), lambda x: V.rounded(x, 5)).alias("unit"))
 
 
 CENTRES = f"""{E_SQL}, x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM e), m AS (SELECT label, k, avg(x) AS m, count(*) AS n FROM x GROUP BY ALL),

@@ -39,9 +39,9 @@ def exact_units(spark, tmp_path, name, vectors):
 UNITS = [[1.0, -1e-7, 0.0], [-1e-7, 1.0, -0.0], [0.6, -0.8], [-2e-6, 3.0], [1e30, -1.0], [0.125, -0.992156], []]
 
 
-@pytest.mark.parametrize("name", ["v19_epsilon_normalise"])
+@pytest.mark.parametrize("name", ["v19_epsilon_normalise", "v2_normalise"])
 def test_units_equal_sql_to_the_sign(spark, tmp_path, name):
-    got, want = exact_units(spark, tmp_path, name, [*UNITS, None, [0.0, -0.0]] if name.startswith("v19") else UNITS)
+    got, want = exact_units(spark, tmp_path, name, [*UNITS, None, [0.0, -0.0]])
     assert got == want and any("-0.0" in r for r in want)
 
 
